@@ -1,0 +1,164 @@
+"""End-to-end batch job: ingest → load → transform, as chained Spark jobs.
+
+1. **ingest** — the acquired responses (here derived from the test tables)
+   are landed as response documents, parsed back (``read_api_responses``),
+   profiled (``null_profile``), written as timestamped CSV snapshots and
+   recorded in a run manifest;
+2. **load** — the newest snapshot per dataset is resolved by name, read
+   with an explicit schema, stamped ``loaded_at`` and full-refreshed into
+   the raw tables; row counts, schema and the check suite are produced;
+3. **transform** — namespaces, staging views, both marts as replaced
+   tables, sorted CSV exports and the previews.
+
+Every intermediate lives in the shared folder under ``root``; each step
+reads what the previous step wrote, so a lost executor replays one step.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.quality import check_suite, describe, null_profile, table_row_counts
+from ..session import fresh_dir
+from ..sinks import catalog
+from ..sinks.landing import (dataset_record, export_csv, land_api_responses, land_csv,
+                             load_full_refresh, write_manifest)
+from ..sources.households import (COUNT_COLUMNS, DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT,
+                                  LEVEL_COUNTY, LEVEL_STATE, raw_relations)
+from ..sources.landing import latest_snapshot, read_api_responses, read_landed_csv
+from . import analytics, models
+
+DEFAULT_RUN_ID = "20240101_000000"
+
+# ── fixed values: dataset names and manifest sources ──────────────────────────
+STATE_DATASET = "census_state"
+COUNTY_DATASET = "census_county"
+STATE_SOURCE = "Census ACS 5-Year 2022 - State Level"
+COUNTY_SOURCE = "Census ACS 5-Year 2022 - County Level"
+
+
+def landed_schema(geo_keys: list[str]) -> T.StructType:
+    fields = [T.StructField(c, T.DoubleType()) for c in COUNT_COLUMNS]
+    fields += [T.StructField("geography_name", T.StringType())]
+    fields += [T.StructField(k, T.StringType()) for k in geo_keys]
+    fields += [T.StructField(c, T.StringType())
+               for c in ("data_source", "geography_level", "ingested_at")]
+    fields += [T.StructField("broadband_penetration_pct", T.DoubleType())]
+    return T.StructType(fields)
+
+
+STATE_KEYS = ["state"]
+COUNTY_KEYS = ["state", "county"]
+
+
+@dataclass
+class PipelineRun:
+    spark: SparkSession
+    root: str
+    run_id: str
+    raw_paths: dict[str, str] = field(default_factory=dict)
+    mart_paths: dict[str, str] = field(default_factory=dict)
+    export_paths: dict[str, str] = field(default_factory=dict)
+    manifest_path: str = ""
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.raw_paths[name])
+
+    def mart(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.mart_paths[name])
+
+
+def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RUN_ID,
+           ingested_at: str = DEFAULT_INGESTED_AT) -> tuple[dict[str, str], str]:
+    """Land responses, parse, profile, snapshot as CSV, write the manifest."""
+    state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at)
+    landing = f"{root}/landing"
+    snapshots, records = {}, []
+    for name, level, keys, source, df in (
+            (STATE_DATASET, LEVEL_STATE, STATE_KEYS, STATE_SOURCE, state),
+            (COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county)):
+        responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys)
+        parsed = read_api_responses(spark, responses, level, keys, ingested_at)
+        # quality gate: the profile is a one-pass aggregate kept with the run
+        null_profile(parsed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
+        snapshots[name] = land_csv(parsed, landing, name, run_id)
+        records.append(dataset_record(parsed, name, source, snapshots[name]))
+    manifest = write_manifest(spark, landing, run_id, records)
+    return snapshots, manifest
+
+
+def load(spark: SparkSession, root: str, loaded_at: str = DEFAULT_LOADED_AT) -> dict[str, str]:
+    """Full-refresh the raw tables from the newest snapshot of each dataset."""
+    paths = {}
+    for name, keys in ((STATE_DATASET, STATE_KEYS), (COUNTY_DATASET, COUNTY_KEYS)):
+        latest = latest_snapshot(spark, f"{root}/landing", name)
+        if latest is None:
+            continue
+        frame = read_landed_csv(spark, latest, landed_schema(keys))
+        paths[name] = f"{root}/raw/{name}"
+        load_full_refresh(frame, paths[name], loaded_at)
+    return paths
+
+
+def post_load_checks(run: PipelineRun) -> dict[str, DataFrame]:
+    tables = {n: run.raw(n) for n in run.raw_paths}
+    return {
+        "row_counts": table_row_counts(tables),
+        "schema": describe(run.spark, tables),
+        "checks": check_suite(run.raw(STATE_DATASET), run.raw(COUNTY_DATASET)),
+    }
+
+
+def transform(run: PipelineRun, namespaces: tuple[str, str] = ("staging", "marts"),
+              state_bound: int | None = None, export: bool = True) -> PipelineRun:
+    spark, root = run.spark, run.root
+    stg_ns, mart_ns = namespaces
+    for ns in namespaces:
+        catalog.create_namespace(spark, ns, f"{root}/{ns}.db")
+    stg_state = catalog.replace_view(models.stage_state(run.raw(STATE_DATASET)),
+                                     f"{stg_ns}_stg_census_state")
+    stg_county = catalog.replace_view(models.stage_county(run.raw(COUNTY_DATASET)),
+                                      f"{stg_ns}_stg_census_county")
+    # both marts read the region staging relation: materialise it once
+    stg_state = stg_state.checkpoint(eager=True)
+    if state_bound is None:
+        state_bound = stg_state.count()
+    marts = {
+        "mart_state_broadband_summary": models.mart_state(stg_state),
+        "mart_underserved_counties": models.mart_underserved(stg_county, stg_state, state_bound),
+    }
+    for name, df in marts.items():
+        run.mart_paths[name] = f"{root}/{mart_ns}.db/{name}"
+        catalog.replace_table(df, f"{mart_ns}.{name}", run.mart_paths[name])
+    if export:
+        orders = {
+            "mart_state_broadband_summary": [F.col("broadband_rank"), F.col("state_name")],
+            "mart_underserved_counties": [F.col("county_broadband_pct").asc_nulls_last(),
+                                          F.col("county_name")],
+        }
+        for name, order in orders.items():
+            run.export_paths[name] = export_csv(run.mart(name), f"{root}/output/{name}", order)
+    return run
+
+
+def previews(run: PipelineRun) -> dict[str, DataFrame]:
+    ms, mu = run.mart("mart_state_broadband_summary"), run.mart("mart_underserved_counties")
+    return {"states": analytics.preview_states(ms),
+            "counties": analytics.preview_counties(mu),
+            "severity": analytics.severity_counts(mu)}
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
+                 run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str] | None = None,
+                 export: bool = True) -> PipelineRun:
+    root = root or fresh_dir(spark, "pipeline")
+    tag = root.rstrip("/").rsplit("-", 1)[-1]
+    namespaces = namespaces or (f"staging_{tag}", f"marts_{tag}")
+    snapshots, manifest = ingest(spark, sf_dir, root, run_id)
+    run = PipelineRun(spark, root, run_id, manifest_path=manifest)
+    run.raw_paths = load(spark, root)
+    return transform(run, namespaces, export=export)

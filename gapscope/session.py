@@ -8,7 +8,6 @@ do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,9 +62,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared checkpoint location."""
+    """A new, unique (not yet created) path under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
