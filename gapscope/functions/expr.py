@@ -37,6 +37,18 @@ def round_half_even(x, digits: int = 2) -> Column:
     return F.rint(_c(x) * scale) / scale
 
 
+def avg_rounded(x, digits: int = 2) -> Column:
+    """``ROUND(AVG(x), digits)`` with an accurate, order-independent mean.
+
+    A plain double sum is off by a few ulps depending on the order partial
+    sums meet, and ``ROUND`` turns that into a different answer whenever
+    the mean sits on ``.xx5``.  The values are summed as decimals (exact),
+    the mean converted to the nearest double, then rounded like SQL ``ROUND``.
+    """
+    exact = F.avg(_c(x).cast("decimal(38,12)"))
+    return round_half_away(exact.cast("double"), digits)
+
+
 def cast_int(x) -> Column:
     """Half-to-even rounding cast of a numeric or numeric-text column."""
     return F.rint(_c(x).cast("double")).cast("int")

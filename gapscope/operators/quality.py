@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import round_half_away, round_half_even
+from ..functions.expr import avg_rounded, round_half_even
 
 
 def _is_missing(df: DataFrame, name: str):
@@ -81,7 +81,7 @@ def check_suite(raw_state: DataFrame, raw_county: DataFrame,
                                             > F.col("total_households") * offline_share)
                                  .alias("n")), CHECK_OFFLINE, F.lit("county_count"), F.col("n")),
         _labelled(raw_state.filter(pct.isNotNull())
-                  .agg(round_half_away(F.avg(pct)).alias("v")), CHECK_AVG,
+                  .agg(avg_rounded(pct).alias("v")), CHECK_AVG,
                   F.lit("avg_pct"), F.col("v")),
     ]
     return reduce(DataFrame.unionByName, parts)

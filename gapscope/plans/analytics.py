@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import (FIBER_EDGE, GAP_WEIGHT, NO_INTERNET_WEIGHT,
+from ..functions.expr import (FIBER_EDGE, GAP_WEIGHT, NO_INTERNET_WEIGHT, avg_rounded,
                               cast_int, nullif_zero, round_half_away)
 from ..operators.rank import global_rank
 
 
 def _avg2(c: str) -> F.Column:
-    return round_half_away(F.avg(c))
+    return avg_rounded(c)
 
 
 def q1_scorecard(mart_state: DataFrame) -> DataFrame:
