@@ -6,9 +6,9 @@ for each key value, how many rows sort strictly before it, so the plan is:
 1. ``hist``: ``groupBy(key).count()`` — partial aggregation map-side, so a
    key holding a third of the rows is one partial row per map task;
 2. sort ``hist`` into range partitions (the ``H`` distinct keys, not the
-   ``N`` rows) and checkpoint it with its partition ids, so every later use
-   sees the same split (range bounds come from sampling and shuffle order is
-   not deterministic);
+   ``N`` rows) and write it with its partition ids as a table in the shared
+   folder, so every later use sees the same split (range bounds come from
+   sampling, and shuffle order is not deterministic);
 3. running count inside each range partition (a window partitioned by the
    partition id) plus an offset per partition from a window over the
    ``P``-row partition totals (``P`` = partition count, broadcast);
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .join import BROADCAST_MAX_ROWS
 
 _N, _PID, _BEFORE, _OFF = "__rk_n", "__rk_pid", "__rk_before", "__rk_off"
@@ -44,9 +45,8 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(key, ascending, nulls_last)
     hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
-    ranged = (hist.repartitionByRange(nparts, order)
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = materialize(hist.repartitionByRange(nparts, order)
+                         .withColumn(_PID, F.spark_partition_id()), "rank-hist")
     before_in_part = F.coalesce(
         F.sum(_N).over(Window.partitionBy(_PID).orderBy(order)
                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -66,7 +66,7 @@ def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...)."""
     ranks = key_ranks(df, key, ascending, nulls_last, rank_col)
-    # ranks derives from a checkpoint, so its count is a cheap exact bound.
+    # ranks derives from a written table, so its count is a cheap exact bound.
     n_keys = ranks.count()
     if n_keys <= broadcast_max_rows:
         ranks = F.broadcast(ranks)

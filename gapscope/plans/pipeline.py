@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import check_suite, describe, null_profile, table_row_counts
-from ..session import fresh_dir
+from ..session import fresh_dir, materialize
 from ..sinks import catalog
 from ..sinks.landing import (dataset_record, export_csv, land_api_responses, land_csv,
                              load_full_refresh, write_manifest)
@@ -75,7 +75,8 @@ class PipelineRun:
 def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RUN_ID,
            ingested_at: str = DEFAULT_INGESTED_AT) -> tuple[dict[str, str], str]:
     """Land responses, parse, profile, snapshot as CSV, write the manifest."""
-    state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at)
+    state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at,
+                                  counts_path=f"{root}/acquired/customer_counts")
     landing = f"{root}/landing"
     snapshots, records = {}, []
     for name, level, keys, source, df in (
@@ -83,10 +84,11 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
             (COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county)):
         responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys)
         parsed = read_api_responses(spark, responses, level, keys, ingested_at)
-        # quality gate: the profile is a one-pass aggregate kept with the run
-        null_profile(parsed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
         snapshots[name] = land_csv(parsed, landing, name, run_id)
-        records.append(dataset_record(parsed, name, source, snapshots[name]))
+        # profile and count the snapshot just written (documents parse once)
+        landed = read_landed_csv(spark, snapshots[name], landed_schema(keys))
+        null_profile(landed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
+        records.append(dataset_record(landed, name, source, snapshots[name]))
     manifest = write_manifest(spark, landing, run_id, records)
     return snapshots, manifest
 
@@ -124,7 +126,7 @@ def transform(run: PipelineRun, namespaces: tuple[str, str] = ("staging", "marts
     stg_county = catalog.replace_view(models.stage_county(run.raw(COUNTY_DATASET)),
                                       f"{stg_ns}_stg_census_county")
     # both marts read the region staging relation: materialise it once
-    stg_state = stg_state.checkpoint(eager=True)
+    stg_state = materialize(stg_state, "stg-state")
     if state_bound is None:
         state_bound = stg_state.count()
     marts = {

@@ -5,7 +5,7 @@ and *loads* them: a full-refresh parquet write under the shared checkpoint
 folder (so lineage back to ``lineitem`` is cut and an executor loss replays
 from the written table, not from the source join).  Staging is lazy (a view
 in the reference); the region staging relation is bounded by the nation
-dimension and is reused by both marts, so it is checkpointed once.  Marts
+dimension and is reused by both marts, so it is written once as a table.  Marts
 are lazy unless ``build_marts()`` writes them as tables.
 """
 
@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_dir
+from ..session import fresh_dir, materialize
 from ..sources.households import (DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT, RULES,
                                   DerivationRules, raw_relations)
 from ..sources.tables import row_count
@@ -43,14 +43,15 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def derived_raw(self) -> tuple[DataFrame, DataFrame]:
+    def derived_raw(self, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+        counts_path = self.path("work", "customer_counts") if materialize else None
         return raw_relations(self.spark, self.sf_dir, self.rules,
-                             self.ingested_at, self.loaded_at)
+                             self.ingested_at, self.loaded_at, counts_path)
 
     def load(self) -> "Warehouse":
         """Full refresh of both raw tables (overwrite)."""
         if not self._loaded:
-            state, county = self.derived_raw()
+            state, county = self.derived_raw(materialize=True)
             state.write.mode("overwrite").parquet(self.path("raw", "census_state"))
             county.write.mode("overwrite").parquet(self.path("raw", "census_county"))
             self._loaded = True
@@ -70,7 +71,7 @@ class Warehouse:
 
     @cached_property
     def _stg_state(self) -> DataFrame:
-        return models.stage_state(self.raw_state()).checkpoint(eager=True)
+        return materialize(models.stage_state(self.raw_state()), "stg-state")
 
     def stg_state(self) -> DataFrame:
         return self._stg_state

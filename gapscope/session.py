@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -65,3 +65,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique (not yet created) path under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
+
+    Cuts lineage like a reliable checkpoint, but computes the plan once
+    (an eager ``checkpoint()`` runs it for the count and again for the
+    write) and keeps columnar pruning and footer statistics for readers.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
