@@ -15,6 +15,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,34 +77,40 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(p))
-
-
 def read_open_csv(spark: SparkSession, path: str, ingested_at: str,
                   data_source: str = OPEN_DATA_SOURCE) -> DataFrame | None:
-    """Optional open-data CSV: header row, any columns kept as text."""
-    if not _exists(spark, path):
-        return None
-    df = (spark.read.option("header", True).option("multiLine", True)
-          .option("escape", '"').csv(path))
+    """Optional open-data CSV: header row, any columns kept as text; absent → None."""
+    try:
+        df = (spark.read.option("header", True).option("multiLine", True)
+              .option("escape", '"').csv(path))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
     return df.withColumns({"data_source": F.lit(data_source),
                            "ingested_at": F.lit(ingested_at)})
 
 
 def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | None:
-    """Path of the newest ``<prefix>_<run>.csv`` by name (run ids sort by time)."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{prefix}_*.csv")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    paths = [s.getPath() for s in found]
-    if not paths:
-        return None
-    return max(paths, key=lambda p: p.getName()).toString()
+    """Path of the newest ``<prefix>_<run>.csv`` by name (run ids sort by time).
+
+    The listing is a ``binaryFile`` scan that selects only ``path``, so file
+    contents are never read; the max over names is a one-row aggregate.
+    """
+    base = directory.rstrip("/")
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load(base).select("path"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    pattern = rf"^(.*/{re.escape(prefix)}_[^/]*\.csv)(/[^/]*)?$"
+    snap = F.regexp_extract("path", pattern, 1)
+    row = (files.select(snap.alias("snap")).filter(F.col("snap") != "")
+           .agg(F.max_by("snap", F.substring_index("snap", "/", -1)).alias("latest"))
+           .first())
+    return row.latest if row else None
 
 
 def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
