@@ -41,12 +41,13 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
               nulls_last: bool = True, rank_col: str = "rank",
               partitions: int | None = None) -> DataFrame:
     """One row per distinct ``key`` value with its SQL RANK (bigint)."""
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(key, ascending, nulls_last)
     hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
-    ranged = materialize(hist.repartitionByRange(nparts, order)
-                         .withColumn(_PID, F.spark_partition_id()), "rank-hist")
+    # Without an explicit count AQE may coalesce neighbouring ranges, which
+    # keeps them contiguous, so partition ids stay in key order.
+    ranged_hist = (hist.repartitionByRange(partitions, order) if partitions
+                   else hist.repartitionByRange(order))
+    ranged = materialize(ranged_hist.withColumn(_PID, F.spark_partition_id()), "rank-hist")
     before_in_part = F.coalesce(
         F.sum(_N).over(Window.partitionBy(_PID).orderBy(order)
                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -56,16 +57,17 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
                    F.sum(_N).over(Window.orderBy(_PID)
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .select(_PID, _OFF))
-    # offsets has at most `nparts` rows: a proven bound, safe to broadcast.
+    # offsets has one row per range partition: a proven bound, safe to broadcast.
     return (local.join(F.broadcast(offsets), _PID)
             .select(key, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("long").alias(rank_col)))
 
 
 def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 nulls_last: bool = True, rank_col: str = "rank",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                partitions: int | None = None) -> DataFrame:
     """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...)."""
-    ranks = key_ranks(df, key, ascending, nulls_last, rank_col)
+    ranks = key_ranks(df, key, ascending, nulls_last, rank_col, partitions)
     # ranks derives from a written table, so its count is a cheap exact bound.
     n_keys = ranks.count()
     if n_keys <= broadcast_max_rows:

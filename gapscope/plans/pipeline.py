@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import check_suite, describe, null_profile, table_row_counts
-from ..session import fresh_dir, materialize
+from ..session import fresh_dir, materialize, run_concurrently
 from ..sinks import catalog
 from ..sinks.landing import (dataset_record, export_csv, land_api_responses, land_csv,
                              load_full_refresh, write_manifest)
@@ -78,32 +78,38 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
     state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at,
                                   counts_path=f"{root}/acquired/customer_counts")
     landing = f"{root}/landing"
-    snapshots, records = {}, []
-    for name, level, keys, source, df in (
-            (STATE_DATASET, LEVEL_STATE, STATE_KEYS, STATE_SOURCE, state),
-            (COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county)):
+
+    def land(name, level, keys, source, df):
         responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys)
         parsed = read_api_responses(spark, responses, level, keys, ingested_at)
-        snapshots[name] = land_csv(parsed, landing, name, run_id)
+        snapshot = land_csv(parsed, landing, name, run_id)
         # profile and count the snapshot just written (documents parse once)
-        landed = read_landed_csv(spark, snapshots[name], landed_schema(keys))
+        landed = read_landed_csv(spark, snapshot, landed_schema(keys))
         null_profile(landed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
-        records.append(dataset_record(landed, name, source, snapshots[name]))
+        return name, snapshot, dataset_record(landed, name, source, snapshot)
+
+    done = run_concurrently(
+        lambda: land(STATE_DATASET, LEVEL_STATE, STATE_KEYS, STATE_SOURCE, state),
+        lambda: land(COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county))
+    snapshots = {name: snap for name, snap, _ in done}
+    records = [rec for _, _, rec in done]
     manifest = write_manifest(spark, landing, run_id, records)
     return snapshots, manifest
 
 
 def load(spark: SparkSession, root: str, loaded_at: str = DEFAULT_LOADED_AT) -> dict[str, str]:
     """Full-refresh the raw tables from the newest snapshot of each dataset."""
-    paths = {}
-    for name, keys in ((STATE_DATASET, STATE_KEYS), (COUNTY_DATASET, COUNTY_KEYS)):
+    def load_one(name, keys):
         latest = latest_snapshot(spark, f"{root}/landing", name)
         if latest is None:
-            continue
-        frame = read_landed_csv(spark, latest, landed_schema(keys))
-        paths[name] = f"{root}/raw/{name}"
-        load_full_refresh(frame, paths[name], loaded_at)
-    return paths
+            return name, None
+        path = f"{root}/raw/{name}"
+        load_full_refresh(read_landed_csv(spark, latest, landed_schema(keys)), path, loaded_at)
+        return name, path
+
+    done = run_concurrently(lambda: load_one(STATE_DATASET, STATE_KEYS),
+                            lambda: load_one(COUNTY_DATASET, COUNTY_KEYS))
+    return {name: path for name, path in done if path}
 
 
 def post_load_checks(run: PipelineRun) -> dict[str, DataFrame]:
@@ -129,21 +135,28 @@ def transform(run: PipelineRun, namespaces: tuple[str, str] = ("staging", "marts
     stg_state = materialize(stg_state, "stg-state")
     if state_bound is None:
         state_bound = stg_state.count()
-    marts = {
-        "mart_state_broadband_summary": models.mart_state(stg_state),
-        "mart_underserved_counties": models.mart_underserved(stg_county, stg_state, state_bound),
+    marts = {  # built inside the threads: the region rank runs jobs as it plans
+        "mart_state_broadband_summary": lambda: models.mart_state(stg_state),
+        "mart_underserved_counties":
+            lambda: models.mart_underserved(stg_county, stg_state, state_bound),
     }
-    for name, df in marts.items():
+
+    def build(name, make):
         run.mart_paths[name] = f"{root}/{mart_ns}.db/{name}"
-        catalog.replace_table(df, f"{mart_ns}.{name}", run.mart_paths[name])
+        catalog.replace_table(make(), f"{mart_ns}.{name}", run.mart_paths[name])
+
+    run_concurrently(*[lambda n=n, m=m: build(n, m) for n, m in marts.items()])
     if export:
         orders = {
             "mart_state_broadband_summary": [F.col("broadband_rank"), F.col("state_name")],
             "mart_underserved_counties": [F.col("county_broadband_pct").asc_nulls_last(),
                                           F.col("county_name")],
         }
-        for name, order in orders.items():
+
+        def export_one(name, order):
             run.export_paths[name] = export_csv(run.mart(name), f"{root}/output/{name}", order)
+
+        run_concurrently(*[lambda n=n, o=o: export_one(n, o) for n, o in orders.items()])
     return run
 
 

@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_dir, materialize
+from ..session import fresh_dir, materialize, run_concurrently
 from ..sources.households import (DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT, RULES,
                                   DerivationRules, raw_relations)
 from ..sources.tables import row_count
@@ -52,8 +52,9 @@ class Warehouse:
         """Full refresh of both raw tables (overwrite)."""
         if not self._loaded:
             state, county = self.derived_raw(materialize=True)
-            state.write.mode("overwrite").parquet(self.path("raw", "census_state"))
-            county.write.mode("overwrite").parquet(self.path("raw", "census_county"))
+            run_concurrently(
+                lambda: state.write.mode("overwrite").parquet(self.path("raw", "census_state")),
+                lambda: county.write.mode("overwrite").parquet(self.path("raw", "census_county")))
             self._loaded = True
         return self
 
@@ -88,10 +89,12 @@ class Warehouse:
 
     def build_marts(self) -> "Warehouse":
         if not self._marts_built:
-            self.mart_state_lazy().write.mode("overwrite").parquet(
-                self.path("marts", MART_TABLES[0]))
-            self.mart_underserved_lazy().write.mode("overwrite").parquet(
-                self.path("marts", MART_TABLES[1]))
+            self.stg_state()   # shared by both marts: written once, before either starts
+            run_concurrently(
+                lambda: self.mart_state_lazy().write.mode("overwrite").parquet(
+                    self.path("marts", MART_TABLES[0])),
+                lambda: self.mart_underserved_lazy().write.mode("overwrite").parquet(
+                    self.path("marts", MART_TABLES[1])))
             self._marts_built = True
         return self
 

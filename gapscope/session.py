@@ -10,6 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import InheritableThread
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,3 +82,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(spark, label)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
+    """Run independent driver-side steps (each submitting its own Spark jobs)
+    at once, so a small job (the region branch) overlaps a large one instead
+    of queueing behind it.  Returns results in order; re-raises the first error.
+    """
+    results: list[Any] = [None] * len(tasks)
+    errors: list[BaseException] = []
+
+    def runner(i: int, fn: Callable[[], Any]) -> None:
+        try:
+            results[i] = fn()
+        except BaseException as e:  # noqa: BLE001 - re-raised below
+            errors.append(e)
+
+    threads = [InheritableThread(target=runner, args=(i, fn)) for i, fn in enumerate(tasks)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return results
