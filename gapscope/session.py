@@ -16,6 +16,7 @@ from typing import Any
 from pyspark import InheritableThread
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -106,3 +107,40 @@ def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
     if errors:
         raise errors[0]
     return results
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` from a metadata-only listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load(paths).select("length"))
+    total = files.agg(F.sum("length").alias("n")).first().n
+    return int(total or 0)
+
+
+def scale_settings(total_input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle / split sizing for an input of ``total_input_bytes``.
+
+    The widest shuffle (lineitem by order key) moves roughly the scanned
+    columns of the input; start with enough partitions that each holds about
+    ``target_partition_bytes`` (at least two waves of tasks) and let AQE
+    coalesce small ones and split skewed ones at runtime.
+    """
+    parts = max(2 * total_cores, -(-total_input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, sf_dir: str, total_cores: int,
+                         tables: tuple[str, ...] = ("lineitem", "orders", "customer")) -> dict[str, str]:
+    """Size the session for the tables under ``sf_dir`` (runtime SQL confs only)."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    conf = scale_settings(input_bytes(spark, paths), total_cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

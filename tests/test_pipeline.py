@@ -72,3 +72,19 @@ def test_quality_profile_written(spark, run):
     assert rows["total_households"].null_pct == 1.3     # custkeys 0 and 103: 2 of 150
     assert not any(r.high_null for r in rows.values())
     assert prof.filter(F.col("n_rows") != 150).count() == 0
+
+
+def test_scale_settings_grow_with_input():
+    from gapscope.session import scale_settings
+    small = scale_settings(10 * 2**20, total_cores=8)
+    big = scale_settings(100 * 2**40, total_cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"          # two waves of 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
+
+
+def test_input_bytes_lists_metadata(spark):
+    from gapscope.session import input_bytes
+    n = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet", f"{SF_SMALL}/orders.parquet"])
+    assert n == (os.path.getsize(f"{SF_SMALL}/lineitem.parquet")
+                 + os.path.getsize(f"{SF_SMALL}/orders.parquet"))
