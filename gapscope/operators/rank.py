@@ -41,6 +41,12 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
               nulls_last: bool = True, rank_col: str = "rank",
               partitions: int | None = None) -> DataFrame:
     """One row per distinct ``key`` value with its SQL RANK (bigint)."""
+    return _key_ranks(df, key, ascending, nulls_last, rank_col, partitions)[0]
+
+
+def _key_ranks(df: DataFrame, key: str, ascending: bool, nulls_last: bool,
+               rank_col: str, partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """(key ranks, the written range-partitioned histogram they come from)."""
     order = _order(key, ascending, nulls_last)
     hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
     # Without an explicit count AQE may coalesce neighbouring ranges, which
@@ -58,8 +64,9 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .select(_PID, _OFF))
     # offsets has one row per range partition: a proven bound, safe to broadcast.
-    return (local.join(F.broadcast(offsets), _PID)
-            .select(key, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("long").alias(rank_col)))
+    ranks = (local.join(F.broadcast(offsets), _PID)
+             .select(key, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("long").alias(rank_col)))
+    return ranks, ranged
 
 
 def global_rank(df: DataFrame, key: str, ascending: bool = False,
@@ -67,9 +74,10 @@ def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS,
                 partitions: int | None = None) -> DataFrame:
     """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...)."""
-    ranks = key_ranks(df, key, ascending, nulls_last, rank_col, partitions)
-    # ranks derives from a written table, so its count is a cheap exact bound.
-    n_keys = ranks.count()
+    ranks, ranged = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions)
+    # one rank per histogram row; the histogram is a written table, so its
+    # row count comes from parquet footers: a cheap, exact size bound
+    n_keys = ranged.count()
     if n_keys <= broadcast_max_rows:
         ranks = F.broadcast(ranks)
     r = ranks.withColumnRenamed(key, "__rk_key")
