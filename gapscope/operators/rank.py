@@ -1,18 +1,25 @@
-"""``RANK() OVER (ORDER BY key)`` with no PARTITION BY, without a single-task window.
+"""``RANK() OVER (ORDER BY key)`` with no PARTITION BY, without a single-task window
+over the rows.
 
 A window with no partition moves every row into one task.  Rank only needs,
 for each key value, how many rows sort strictly before it, so the plan is:
 
 1. ``hist``: ``groupBy(key).count()`` — partial aggregation map-side, so a
-   key holding a third of the rows is one partial row per map task;
-2. sort ``hist`` into range partitions (the ``H`` distinct keys, not the
-   ``N`` rows) and write it with its partition ids as a table in the shared
-   folder, so every later use sees the same split (range bounds come from
-   sampling, and shuffle order is not deterministic);
-3. running count inside each range partition (a window partitioned by the
-   partition id) plus an offset per partition from a window over the
-   ``P``-row partition totals (``P`` = partition count, broadcast);
-4. join the ``H`` key ranks back to the rows on the key (null-safe);
+   key holding a third of the rows is one partial row per map task.  It is
+   written as a table in the shared folder; its footers give the exact
+   number ``H`` of distinct keys.
+2. Running "rows before" over ``hist`` in key order:
+
+   * ``H`` within ``single_task_max_keys`` (a proven bound, e.g. percentages
+     rounded to two decimals have at most 10,001 values): one window task
+     over the ``H``-row histogram;
+   * otherwise: the histogram is range-partitioned (and written, with its
+     partition ids, so every later use sees the same split — range bounds
+     come from sampling and shuffle order is not deterministic), running
+     counts are taken inside each range, and each range's offset comes from
+     a window over the ``P`` range totals (broadcast, ``P`` partitions).
+
+3. Join the ``H`` key ranks back to the rows on the key (null-safe):
    broadcast when ``H`` is small, else a shuffle join.
 
 Ties share a rank and leave gaps (SQL RANK); NULL keys sort as asked
@@ -29,6 +36,9 @@ from .join import BROADCAST_MAX_ROWS
 
 _N, _PID, _BEFORE, _OFF = "__rk_n", "__rk_pid", "__rk_before", "__rk_off"
 
+# Largest histogram ranked inside one window task.
+SINGLE_TASK_MAX_KEYS = 1_000_000
+
 
 def _order(key: str, ascending: bool, nulls_last: bool):
     c = F.col(key)
@@ -37,47 +47,54 @@ def _order(key: str, ascending: bool, nulls_last: bool):
     return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
 
+def _rows_before(order, partition: str | None = None):
+    w = Window.partitionBy(partition) if partition else Window
+    frame = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(_N).over(frame), F.lit(0))
+
+
 def key_ranks(df: DataFrame, key: str, ascending: bool = False,
               nulls_last: bool = True, rank_col: str = "rank",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None,
+              single_task_max_keys: int = SINGLE_TASK_MAX_KEYS) -> DataFrame:
     """One row per distinct ``key`` value with its SQL RANK (bigint)."""
-    return _key_ranks(df, key, ascending, nulls_last, rank_col, partitions)[0]
+    return _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
+                      single_task_max_keys)[0]
 
 
 def _key_ranks(df: DataFrame, key: str, ascending: bool, nulls_last: bool,
-               rank_col: str, partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    """(key ranks, the written range-partitioned histogram they come from)."""
+               rank_col: str, partitions: int | None,
+               single_task_max_keys: int) -> tuple[DataFrame, int]:
+    """(key ranks, number of distinct keys)."""
     order = _order(key, ascending, nulls_last)
-    hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
+    hist = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias(_N)), "rank-hist")
+    n_keys = hist.count()          # parquet footers: cheap and exact
+    if n_keys <= single_task_max_keys:
+        ranks = hist.select(key, (_rows_before(order) + 1).cast("long").alias(rank_col))
+        return ranks, n_keys
     # Without an explicit count AQE may coalesce neighbouring ranges, which
     # keeps them contiguous, so partition ids stay in key order.
     ranged_hist = (hist.repartitionByRange(partitions, order) if partitions
                    else hist.repartitionByRange(order))
-    ranged = materialize(ranged_hist.withColumn(_PID, F.spark_partition_id()), "rank-hist")
-    before_in_part = F.coalesce(
-        F.sum(_N).over(Window.partitionBy(_PID).orderBy(order)
-                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    local = ranged.withColumn(_BEFORE, before_in_part)
+    ranged = materialize(ranged_hist.withColumn(_PID, F.spark_partition_id()), "rank-ranges")
+    local = ranged.withColumn(_BEFORE, _rows_before(order, _PID))
     offsets = (ranged.groupBy(_PID).agg(F.sum(_N).alias(_N))
-               .withColumn(_OFF, F.coalesce(
-                   F.sum(_N).over(Window.orderBy(_PID)
-                                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .withColumn(_OFF, _rows_before(F.col(_PID)))
                .select(_PID, _OFF))
     # offsets has one row per range partition: a proven bound, safe to broadcast.
     ranks = (local.join(F.broadcast(offsets), _PID)
              .select(key, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("long").alias(rank_col)))
-    return ranks, ranged
+    return ranks, n_keys
 
 
 def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 nulls_last: bool = True, rank_col: str = "rank",
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None,
+                single_task_max_keys: int = SINGLE_TASK_MAX_KEYS) -> DataFrame:
     """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...)."""
-    ranks, ranged = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions)
-    # one rank per histogram row; the histogram is a written table, so its
-    # row count comes from parquet footers: a cheap, exact size bound
-    n_keys = ranged.count()
+    ranks, n_keys = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
+                               single_task_max_keys)
     if n_keys <= broadcast_max_rows:
         ranks = F.broadcast(ranks)
     r = ranks.withColumnRenamed(key, "__rk_key")

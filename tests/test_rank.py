@@ -48,9 +48,12 @@ def test_matches_spark_window(spark):
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(0, 6).map(float)), min_size=1, max_size=30),
-       st.booleans())
-def test_property_against_brute_force(spark, values, ascending):
-    assert _ranked(spark, values, ascending) == brute_rank(values, ascending)
+       st.booleans(), st.sampled_from([0, 1_000_000]))
+def test_property_against_brute_force(spark, values, ascending, single_task_max_keys):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, k double")
+    got = global_rank(df, "k", ascending=ascending, rank_col="r", partitions=3,
+                      single_task_max_keys=single_task_max_keys).collect()
+    assert [r.r for r in sorted(got, key=lambda r: r.id)] == brute_rank(values, ascending)
 
 
 def test_offsets_across_many_range_partitions(spark):
@@ -59,7 +62,8 @@ def test_offsets_across_many_range_partitions(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, k double")
     for ascending in (False, True):
         got = global_rank(df, "k", ascending=ascending, rank_col="r", partitions=7,
-                          broadcast_max_rows=10)   # also exercises the shuffle join-back
+                          broadcast_max_rows=10,   # also exercises the shuffle join-back
+                          single_task_max_keys=0)  # force the range-partitioned path
         ours = [r.r for r in sorted(got.collect(), key=lambda r: r.id)]
         assert ours == brute_rank(vals, ascending)
 
@@ -67,6 +71,6 @@ def test_offsets_across_many_range_partitions(spark):
 def test_ranges_really_split(spark):
     from gapscope.operators.rank import key_ranks
     df = spark.createDataFrame([(float(i),) for i in range(100)], "k double")
-    ranks = key_ranks(df, "k", partitions=5)
+    ranks = key_ranks(df, "k", partitions=5, single_task_max_keys=0)
     assert ranks.select("k").count() == 100
     assert sorted(r.rank for r in ranks.collect()) == list(range(1, 101))
