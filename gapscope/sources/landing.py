@@ -56,7 +56,9 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
     # row 0 is the header; every later row becomes one record keyed by it
     rows = docs.select(F.col("doc")[0].alias("hdr"),
                        F.explode(F.expr("slice(doc, 2, size(doc))")).alias("row"))
-    cell = F.map_from_arrays("hdr", "row")
+    # zip pads a short row with NULL cells; cells beyond the header are dropped
+    cell = F.map_from_entries(F.filter(F.arrays_zip("hdr", "row"),
+                                       lambda e: e["hdr"].isNotNull()))
     by_name = {v: k for k, v in variables.items()}
 
     def field(name: str):

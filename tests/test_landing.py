@@ -50,3 +50,16 @@ def test_documents_split_across_pages(spark):
 
 def test_optional_csv_absent(spark):
     assert read_open_csv(spark, fresh_dir(spark, "t-none") + "/x_*.csv", "T0") is None
+
+
+def test_ragged_rows_do_not_fail_the_scan(spark, tmp_path):
+    doc = [["B28002_001E", "B28002_004E", "NAME", "state"],
+           ["10", "5", "Short"],                        # missing state → NULL
+           ["20", "10", "Long", "07", "extra", "cells"]]
+    p = tmp_path / "ragged.json"
+    p.write_text(json.dumps(doc))
+    rows = {r.geography_name: r for r in
+            read_api_responses(spark, str(p), "state", ["state"], "T0").collect()}
+    assert rows["Short"].state is None and rows["Short"].broadband_penetration_pct == 50.0
+    assert rows["Long"].state == "07" and rows["Long"].total_households == 20.0
+    assert rows["Long"].households_fiber_optic is None   # column absent from the header
