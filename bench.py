@@ -10,7 +10,7 @@ Timed steps (each forces its result with a full collect or write):
   q1..q8          the eight analytical queries over the written marts
   checks          post-load check suite + null profile over the raw tables
   county_rank     global rank of every staged sub-region
-  pipeline        end-to-end batch job: land responses → parse → profile → CSV
+  batch_job       end-to-end batch job: land responses → parse → profile → CSV
                   snapshots → manifest → load latest → staging → marts → exports
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -29,7 +29,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from gapscope.operators.quality import check_suite, null_profile  # noqa: E402
 from gapscope.operators.rank import global_rank  # noqa: E402
 from gapscope.plans import analytics as A  # noqa: E402
-from gapscope.plans.pipeline import run_pipeline  # noqa: E402
+from gapscope.plans.batch import run_batch_job  # noqa: E402
 from gapscope.plans.warehouse import Warehouse  # noqa: E402
 from gapscope.session import build_session  # noqa: E402
 
@@ -71,7 +71,7 @@ def main() -> None:
         wh.stg_county().select("county_fips", "state_fips", "broadband_penetration_pct"),
         "broadband_penetration_pct", rank_col="broadband_rank")
         .write.mode("overwrite").format("noop").save())
-    times["pipeline"] = _timed(lambda: run_pipeline(spark, sf_dir))
+    times["batch_job"] = _timed(lambda: run_batch_job(spark, sf_dir))
 
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))

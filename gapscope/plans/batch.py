@@ -56,7 +56,7 @@ COUNTY_KEYS = ["state", "county"]
 
 
 @dataclass
-class PipelineRun:
+class BatchRun:
     spark: SparkSession
     root: str
     run_id: str
@@ -112,7 +112,7 @@ def load(spark: SparkSession, root: str, loaded_at: str = DEFAULT_LOADED_AT) ->
     return {name: path for name, path in done if path}
 
 
-def post_load_checks(run: PipelineRun) -> dict[str, DataFrame]:
+def post_load_checks(run: BatchRun) -> dict[str, DataFrame]:
     tables = {n: run.raw(n) for n in run.raw_paths}
     return {
         "row_counts": table_row_counts(tables),
@@ -121,8 +121,8 @@ def post_load_checks(run: PipelineRun) -> dict[str, DataFrame]:
     }
 
 
-def transform(run: PipelineRun, namespaces: tuple[str, str] = ("staging", "marts"),
-              state_bound: int | None = None, export: bool = True) -> PipelineRun:
+def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
+              state_bound: int | None = None, export: bool = True) -> BatchRun:
     spark, root = run.spark, run.root
     stg_ns, mart_ns = namespaces
     for ns in namespaces:
@@ -160,20 +160,20 @@ def transform(run: PipelineRun, namespaces: tuple[str, str] = ("staging", "marts
     return run
 
 
-def previews(run: PipelineRun) -> dict[str, DataFrame]:
+def previews(run: BatchRun) -> dict[str, DataFrame]:
     ms, mu = run.mart("mart_state_broadband_summary"), run.mart("mart_underserved_counties")
     return {"states": analytics.preview_states(ms),
             "counties": analytics.preview_counties(mu),
             "severity": analytics.severity_counts(mu)}
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
+def run_batch_job(spark: SparkSession, sf_dir: str, root: str | None = None,
                  run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str] | None = None,
-                 export: bool = True) -> PipelineRun:
-    root = root or fresh_dir(spark, "pipeline")
+                 export: bool = True) -> BatchRun:
+    root = root or fresh_dir(spark, "batch")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
     namespaces = namespaces or (f"staging_{tag}", f"marts_{tag}")
     snapshots, manifest = ingest(spark, sf_dir, root, run_id)
-    run = PipelineRun(spark, root, run_id, manifest_path=manifest)
+    run = BatchRun(spark, root, run_id, manifest_path=manifest)
     run.raw_paths = load(spark, root)
     return transform(run, namespaces, export=export)

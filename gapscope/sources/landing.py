@@ -80,10 +80,15 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
 
 
 def read_open_csv(spark: SparkSession, path: str, ingested_at: str,
-                  data_source: str = OPEN_DATA_SOURCE) -> DataFrame | None:
-    """Optional open-data CSV: header row, any columns kept as text; absent → None."""
+                  data_source: str = OPEN_DATA_SOURCE,
+                  multiline: bool = False) -> DataFrame | None:
+    """Optional open-data CSV: header row, any columns kept as text; absent → None.
+
+    ``multiline`` allows quoted newlines inside cells but makes each file a
+    single task (it can no longer be split), so it is opt-in.
+    """
     try:
-        df = (spark.read.option("header", True).option("multiLine", True)
+        df = (spark.read.option("header", True).option("multiLine", multiline)
               .option("escape", '"').csv(path))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):

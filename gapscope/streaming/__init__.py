@@ -4,6 +4,6 @@ The engine's workload is a sequential batch job (ingest → load → transform
 → analytics) with no stream sources, watermarks, windows over event time or
 stateful operators, so nothing here is needed to match it.  Landed inputs
 are immutable timestamped snapshots; a new snapshot is handled by running
-the batch job again (``plans.pipeline.run_pipeline``), which picks the
+the batch job again (``plans.batch.run_batch_job``), which picks the
 newest one by name.
 """

@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from gapscope.plans import pipeline as P
+from gapscope.plans import batch as P
 from gapscope.sinks.landing import read_manifest
 
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return P.run_pipeline(spark, SF_SMALL, namespaces=("stg_t", "marts_t"))
+    return P.run_batch_job(spark, SF_SMALL, namespaces=("stg_t", "marts_t"))
 
 
 def test_manifest(spark, run):
