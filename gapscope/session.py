@@ -54,7 +54,13 @@ def build_session(master: str | None = None, app: str = "gapscope",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        configured = spark.conf.get(_CKPT_KEY, None)
+        if not configured:
+            raise RuntimeError(f"{_CKPT_KEY} must name a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -144,3 +150,8 @@ def apply_scale_settings(spark: SparkSession, sf_dir: str, total_cores: int,
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (per-application memoisation)."""
+    return spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name")
