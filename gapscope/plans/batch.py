@@ -29,7 +29,8 @@ from ..sinks.landing import (dataset_record, export_csv, land_api_responses, lan
                              load_full_refresh, write_manifest)
 from ..sources.households import (COUNT_COLUMNS, DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT,
                                   LEVEL_COUNTY, LEVEL_STATE, raw_relations)
-from ..sources.landing import latest_snapshot, read_api_responses, read_landed_csv
+from ..sources.landing import (latest_snapshot, read_api_responses, read_landed_csv,
+                               read_open_csv)
 from . import analytics, models
 
 DEFAULT_RUN_ID = "20240101_000000"
@@ -39,6 +40,8 @@ STATE_DATASET = "census_state"
 COUNTY_DATASET = "census_county"
 STATE_SOURCE = "Census ACS 5-Year 2022 - State Level"
 COUNTY_SOURCE = "Census ACS 5-Year 2022 - County Level"
+OPEN_DATASET = "fcc_477"
+OPEN_SOURCE = "FCC Form 477 Open Data Portal"
 
 
 def landed_schema(geo_keys: list[str]) -> T.StructType:
@@ -73,8 +76,14 @@ class BatchRun:
 
 
 def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RUN_ID,
-           ingested_at: str = DEFAULT_INGESTED_AT) -> tuple[dict[str, str], str]:
-    """Land responses, parse, profile, snapshot as CSV, write the manifest."""
+           ingested_at: str = DEFAULT_INGESTED_AT,
+           open_data_path: str | None = None) -> tuple[dict[str, str], str]:
+    """Land responses, parse, profile, snapshot as CSV, write the manifest.
+
+    ``open_data_path`` names the optional open-data CSV download; when it is
+    absent the run continues without it (it is landed and recorded, never
+    loaded into the raw tables).
+    """
     state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at,
                                   counts_path=f"{root}/acquired/customer_counts")
     landing = f"{root}/landing"
@@ -88,9 +97,21 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
         null_profile(landed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
         return name, snapshot, dataset_record(landed, name, source, snapshot)
 
+    def land_open_data():
+        df = read_open_csv(spark, open_data_path, ingested_at) if open_data_path else None
+        if df is None:
+            return None
+        snapshot = land_csv(df, landing, OPEN_DATASET, run_id)
+        landed = spark.read.option("header", True).option("escape", '"').csv(snapshot)
+        null_profile(landed).write.mode("overwrite").parquet(
+            f"{root}/quality/{OPEN_DATASET}_{run_id}")
+        return OPEN_DATASET, snapshot, dataset_record(landed, OPEN_DATASET, OPEN_SOURCE, snapshot)
+
     done = run_concurrently(
         lambda: land(STATE_DATASET, LEVEL_STATE, STATE_KEYS, STATE_SOURCE, state),
-        lambda: land(COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county))
+        lambda: land(COUNTY_DATASET, LEVEL_COUNTY, COUNTY_KEYS, COUNTY_SOURCE, county),
+        land_open_data)
+    done = [d for d in done if d is not None]
     snapshots = {name: snap for name, snap, _ in done}
     records = [rec for _, _, rec in done]
     manifest = write_manifest(spark, landing, run_id, records)
@@ -167,13 +188,19 @@ def previews(run: BatchRun) -> dict[str, DataFrame]:
             "severity": analytics.severity_counts(mu)}
 
 
+def open_data_stand_in(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Stand-in for the open-data download: the ``events`` table as a CSV file set."""
+    from ..sources.tables import read_table
+    return land_csv(read_table(spark, sf_dir, "events"), f"{root}/downloads", "open_data", "0")
+
+
 def run_batch_job(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str] | None = None,
-                 export: bool = True) -> BatchRun:
+                  run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str] | None = None,
+                  export: bool = True, open_data_path: str | None = None) -> BatchRun:
     root = root or fresh_dir(spark, "batch")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
     namespaces = namespaces or (f"staging_{tag}", f"marts_{tag}")
-    snapshots, manifest = ingest(spark, sf_dir, root, run_id)
+    snapshots, manifest = ingest(spark, sf_dir, root, run_id, open_data_path=open_data_path)
     run = BatchRun(spark, root, run_id, manifest_path=manifest)
     run.raw_paths = load(spark, root)
     return transform(run, namespaces, export=export)

@@ -51,11 +51,16 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
                        data_source: str = DATA_SOURCE) -> DataFrame:
     """Parse response documents into the landed relation for ``level``."""
     text = spark.read.text(path, wholetext=whole_files)
-    docs = (text.select(F.from_json("value", _DOC).alias("doc"))
-            .filter(F.size("doc") >= 1))
-    # row 0 is the header; every later row becomes one record keyed by it
-    rows = docs.select(F.col("doc")[0].alias("hdr"),
-                       F.explode(F.expr("slice(doc, 2, size(doc))")).alias("row"))
+    docs = text.select(F.from_json("value", _DOC).alias("doc"))
+    # Row 0 is the header; every later row becomes one record keyed by it.
+    # Header and body are split *before* the explode so each output row
+    # carries only the small header, never the whole parsed document.
+    parts = docs.select(F.try_element_at("doc", F.lit(1)).alias("hdr"),
+                        F.expr("slice(doc, 2, greatest(size(doc) - 1, 0))").alias("body"))
+    # explode_outer + a filter on the generated row: a plain explode makes the
+    # optimizer add a size(body) > 0 filter that parses each document again
+    rows = (parts.select("hdr", F.explode_outer("body").alias("row"))
+            .filter(F.col("row").isNotNull()))
     # zip pads a short row with NULL cells; cells beyond the header are dropped
     cell = F.map_from_entries(F.filter(F.arrays_zip("hdr", "row"),
                                        lambda e: e["hdr"].isNotNull()))

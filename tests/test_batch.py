@@ -16,6 +16,23 @@ def run(spark):
     return P.run_batch_job(spark, SF_SMALL, namespaces=("stg_t", "marts_t"))
 
 
+def test_optional_open_data_is_landed_and_recorded(spark):
+    from gapscope.session import fresh_dir
+    from gapscope.sinks.landing import land_csv
+    from gapscope.sources.tables import read_table
+    download = land_csv(read_table(spark, SF_SMALL, "events"), fresh_dir(spark, "t-dl"),
+                        "download", "0")
+    root = fresh_dir(spark, "t-ingest")
+    snaps, manifest = P.ingest(spark, SF_SMALL, root, open_data_path=download)
+    rows = {d.name: d.rows for d in read_manifest(spark, manifest).collect()[0].datasets}
+    assert rows == {"census_state": 24, "census_county": 150, "fcc_477": 1000}
+    assert snaps["fcc_477"].endswith(f"fcc_477_{P.DEFAULT_RUN_ID}.csv")
+    # an absent optional source is skipped, not an error
+    snaps2, _ = P.ingest(spark, SF_SMALL, fresh_dir(spark, "t-ingest"),
+                         open_data_path=fresh_dir(spark, "t-none") + "/x.csv")
+    assert "fcc_477" not in snaps2
+
+
 def test_manifest(spark, run):
     m = read_manifest(spark, run.manifest_path)
     row = m.collect()[0]
