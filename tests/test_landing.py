@@ -63,3 +63,14 @@ def test_ragged_rows_do_not_fail_the_scan(spark, tmp_path):
     assert rows["Short"].state is None and rows["Short"].broadband_penetration_pct == 50.0
     assert rows["Long"].state == "07" and rows["Long"].total_households == 20.0
     assert rows["Long"].households_fiber_optic is None   # column absent from the header
+
+
+def test_explode_carries_only_the_header(spark, tmp_path):
+    p = tmp_path / "doc.json"
+    p.write_text(json.dumps([["B28002_001E", "NAME", "state"], ["1", "a", "01"]]))
+    df = read_api_responses(spark, str(p), "state", ["state"], "T0")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    generate = [ln for ln in plan.splitlines() if "Generate" in ln][0]
+    # output of the generator: the header and the exploded row, not the document
+    assert "[hdr" in generate and "doc" not in generate.split("],")[0].split("), ")[-1]
+    assert plan.count("from_json") == 1                         # each document parsed once
