@@ -161,18 +161,22 @@ mart_underserved AS (
 )"""
 
 
-def with_layers(body: str, *, staging: bool = True, marts: bool = True) -> str:
+def with_layers(body: str, *, staging: bool = True, marts: bool = True,
+                extra: str | None = None) -> str:
+    """``WITH <layers>[, <extra CTEs>] <body>``."""
     ctes = [RAW_CTES]
     if staging or marts:
         ctes.append(STAGING_CTES)
     if marts:
         ctes.append(MART_CTES)
+    if extra:
+        ctes.append("\n" + extra.strip())
     return "WITH " + ",".join(ctes) + "\n" + body.strip()
 
 
-def raw_only(body: str) -> str:
-    return with_layers(body, staging=False, marts=False)
+def raw_only(body: str, extra: str | None = None) -> str:
+    return with_layers(body, staging=False, marts=False, extra=extra)
 
 
-def staged(body: str) -> str:
-    return with_layers(body, marts=False)
+def staged(body: str, extra: str | None = None) -> str:
+    return with_layers(body, marts=False, extra=extra)
