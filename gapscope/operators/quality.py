@@ -65,24 +65,43 @@ def top_states(raw_state: DataFrame, k: int = 5, ascending: bool = False) -> Dat
             .orderBy(pct.asc() if ascending else pct.desc(), "geography_name").limit(k))
 
 
+def _scalar_checks(df: DataFrame, checks: list[tuple[str, str, F.Column]]) -> DataFrame:
+    """Several scalar checks over one table in a single aggregation pass,
+    unpivoted into labelled (check, item, value) rows."""
+    wide = df.agg(*[value.cast("double").alias(f"__c{i}") for i, (_, _, value) in enumerate(checks)])
+    stacked = wide.unpivot([], [F.col(f"__c{i}").alias(str(i)) for i in range(len(checks))],
+                           "__i", "value")
+    labels = F.create_map(*[x for i, (check, _, _) in enumerate(checks)
+                            for x in (F.lit(str(i)), F.lit(check))])
+    items = F.create_map(*[x for i, (_, item, _) in enumerate(checks)
+                           for x in (F.lit(str(i)), F.lit(item))])
+    return stacked.select(labels[F.col("__i")].alias("check"), items[F.col("__i")].alias("item"),
+                          "value")
+
+
 def check_suite(raw_state: DataFrame, raw_county: DataFrame,
                 offline_share: float = 0.5) -> DataFrame:
-    """The six post-load checks as one long frame (check, item, value)."""
+    """The six post-load checks as one long frame (check, item, value).
+
+    Each table's scalar checks share one scan; the two top-5 lists are
+    top-k queries (no full sort).
+    """
     pct = F.col("broadband_penetration_pct")
+    state_checks = _scalar_checks(raw_state, [
+        (CHECK_STATE_COUNT, "count", F.count(F.lit(1))),
+        (CHECK_AVG, "avg_pct", avg_rounded(pct)),          # AVG skips NULL shares
+    ])
+    county_checks = _scalar_checks(raw_county, [
+        (CHECK_COUNTY_COUNT, "count", F.count(F.lit(1))),
+        (CHECK_OFFLINE, "county_count",
+         F.count_if(F.col("households_no_internet") > F.col("total_households") * offline_share)),
+    ])
     parts = [
-        _labelled(raw_state.agg(F.count(F.lit(1)).alias("n")), CHECK_STATE_COUNT,
-                  F.lit("count"), F.col("n")),
-        _labelled(raw_county.agg(F.count(F.lit(1)).alias("n")), CHECK_COUNTY_COUNT,
-                  F.lit("count"), F.col("n")),
+        state_checks,
+        county_checks,
         _labelled(top_states(raw_state), CHECK_TOP5, F.col("geography_name"), pct),
         _labelled(top_states(raw_state, ascending=True), CHECK_BOTTOM5,
                   F.col("geography_name"), pct),
-        _labelled(raw_county.agg(F.count_if(F.col("households_no_internet")
-                                            > F.col("total_households") * offline_share)
-                                 .alias("n")), CHECK_OFFLINE, F.lit("county_count"), F.col("n")),
-        _labelled(raw_state.filter(pct.isNotNull())
-                  .agg(avg_rounded(pct).alias("v")), CHECK_AVG,
-                  F.lit("avg_pct"), F.col("v")),
     ]
     return reduce(DataFrame.unionByName, parts)
 
