@@ -40,6 +40,9 @@ STATE_DATASET = "census_state"
 COUNTY_DATASET = "census_county"
 STATE_SOURCE = "Census ACS 5-Year 2022 - State Level"
 COUNTY_SOURCE = "Census ACS 5-Year 2022 - County Level"
+# export file per mart
+EXPORT_FILES = {"mart_state_broadband_summary": "state_broadband_summary.csv",
+                "mart_underserved_counties": "underserved_counties.csv"}
 OPEN_DATASET = "fcc_477"
 OPEN_SOURCE = "FCC Form 477 Open Data Portal"
 
@@ -175,7 +178,8 @@ def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
         }
 
         def export_one(name, order):
-            run.export_paths[name] = export_csv(run.mart(name), f"{root}/output/{name}", order)
+            run.export_paths[name] = export_csv(run.mart(name),
+                                                f"{root}/output/{EXPORT_FILES[name]}", order)
 
         run_concurrently(*[lambda n=n, o=o: export_one(n, o) for n, o in orders.items()])
     return run
