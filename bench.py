@@ -32,7 +32,7 @@ from gapscope.operators.rank import global_rank  # noqa: E402
 from gapscope.plans import analytics as A  # noqa: E402
 from gapscope.plans.batch import open_data_stand_in, run_batch_job  # noqa: E402
 from gapscope.plans.warehouse import Warehouse  # noqa: E402
-from gapscope.session import build_session, fresh_dir  # noqa: E402
+from gapscope.session import apply_scale_settings, build_session, fresh_dir  # noqa: E402
 
 
 def _timed(fn):
@@ -46,6 +46,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app="gapscope-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
+    apply_scale_settings(spark, sf_dir, total_cores=cpus)   # partitions sized from input bytes
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

@@ -124,21 +124,24 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def scale_settings(total_input_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                   max_partition_bytes: int = 256 * 1024 * 1024,
+                   min_partition_bytes: int = 1024 * 1024) -> dict[str, str]:
     """Shuffle / split sizing for an input of ``total_input_bytes``.
 
-    The widest shuffle (lineitem by order key) moves roughly the scanned
-    columns of the input; start with enough partitions that each holds about
-    ``target_partition_bytes`` (at least two waves of tasks) and let AQE
-    coalesce small ones and split skewed ones at runtime.
+    Partitions are sized so the widest shuffle (lineitem by order key) runs
+    at least two waves of tasks, each partition between ``min`` and ``max``
+    bytes (256 MiB at cluster scale); AQE then coalesces small partitions
+    and splits skewed ones at runtime.
     """
-    parts = max(2 * total_cores, -(-total_input_bytes // target_partition_bytes))
-    size = str(target_partition_bytes)
+    target = total_input_bytes // max(1, 2 * total_cores)
+    target = max(min_partition_bytes, min(max_partition_bytes, target))
+    parts = max(2 * total_cores, -(-total_input_bytes // target))
+    size = str(target)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
     }
 
 

@@ -98,6 +98,7 @@ def test_scale_settings_grow_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"          # two waves of 8 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
+    assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(2**20)
 
 
 def test_input_bytes_lists_metadata(spark):
