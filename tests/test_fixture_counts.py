@@ -52,3 +52,29 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 29
     assert "underserved_severity" in df.columns
+
+
+def test_fixture_quantities_sf001(spark):
+    """FIXTURES.md §2 expected quantities at sf0.01."""
+    from pyspark.sql import functions as F
+    wh = warehouse_for(spark, "/root/testdata/sf0.01")
+    mu, ms = wh.mart_underserved_lazy(), wh.mart_state_lazy()
+    sc, rc = wh.stg_county(), wh.raw_county()
+    offline, total = F.col("households_no_internet"), F.col("total_households")
+    assert mu.count() == 248
+    assert {r[0]: r[1] for r in ms.groupBy("access_tier").count().collect()} == {
+        "High Access": 3, "Medium Access": 5, "Low Access": 6, "Critical Gap": 10}
+    assert {r[0]: r[1] for r in mu.groupBy("underserved_severity").count().collect()} == {
+        "Critical": 24, "Severe": 72, "Moderate": 54, "Marginal": 98}
+    assert mu.filter(F.col("county_broadband_pct").isNull()).count() == 3
+    assert mu.filter(F.col("state_name").isNull()).count() == 9
+    assert mu.filter(F.col("state_broadband_pct").isNull()).count() == 20
+    assert mu.filter(F.col("pct_below_state_avg") < 0).count() == 120
+    assert ms.filter(F.col("fiber_penetration_pct").isNotNull()).count() == 23
+    assert mu.select("state_name").distinct().count() == 25
+    assert sc.filter(offline * 1.0 / total == 0.2).count() == 26          # not flagged
+    assert sc.filter((offline * 1.0 / total == 0.2) & F.col("is_underserved")).count() == 0
+    assert rc.filter(offline > total * 0.5).count() == 14
+    assert rc.filter(offline > total * 0.25).count() == 88
+    assert (sc.filter(F.col("broadband_penetration_pct").isNotNull())
+            .select("broadband_penetration_pct").distinct().count()) == 404
