@@ -66,8 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(_CKPT_KEY, None)
     if not configured:
-        # Only reached where the cluster names no shared folder (local tests).
-        configured = tempfile.mkdtemp(prefix="gapscope-ckpt-")
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of that machine
+            raise RuntimeError(f"{_CKPT_KEY} must name a shared folder on a cluster")
+        configured = tempfile.mkdtemp(prefix="gapscope-ckpt-")   # local mode (tests) only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
