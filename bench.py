@@ -65,7 +65,8 @@ def main() -> None:
     ms, mu = wh.mart_state(), wh.mart_underserved()
     queries = {
         "q1": lambda: A.q1_scorecard(ms), "q2": lambda: A.q2_ranking(ms),
-        "q3": lambda: A.q3_fiber(ms), "q4": lambda: A.q4_by_state(mu),
+        "q3": lambda: A.q3_fiber(ms, state_bound=wh.state_bound),
+        "q4": lambda: A.q4_by_state(mu),
         "q5": lambda: A.q5_critical(mu), "q6": lambda: A.q6_gap_index(mu),
         "q7": lambda: A.q7_impact(mu), "q8": lambda: A.q8_tiers(ms),
     }

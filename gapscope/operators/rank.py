@@ -22,6 +22,9 @@ for each key value, how many rows sort strictly before it, so the plan is:
 3. Join the ``H`` key ranks back to the rows on the key (null-safe):
    broadcast when ``H`` is small, else a shuffle join.
 
+When the caller proves a small bound on ``H`` up front (``key_bound``), step
+1's table is skipped and the whole rank is one lazy job.
+
 Ties share a rank and leave gaps (SQL RANK); NULL keys sort as asked
 (last by default, as in the reference for both directions).
 """
@@ -91,8 +94,22 @@ def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 nulls_last: bool = True, rank_col: str = "rank",
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS,
                 partitions: int | None = None,
-                single_task_max_keys: int = SINGLE_TASK_MAX_KEYS) -> DataFrame:
-    """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...)."""
+                single_task_max_keys: int = SINGLE_TASK_MAX_KEYS,
+                key_bound: int | None = None) -> DataFrame:
+    """``df`` plus ``rank_col`` = RANK() OVER (ORDER BY key ...).
+
+    ``key_bound`` is an upper bound on the number of distinct keys that the
+    caller has already proven (e.g. rows bounded by a dimension's row count).
+    Within the single-task and broadcast limits the histogram then stays
+    lazy: one window over at most that many rows, broadcast back, one job.
+    """
+    if key_bound is not None and key_bound <= min(single_task_max_keys, broadcast_max_rows):
+        order = _order(key, ascending, nulls_last)
+        hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
+        ranks = hist.select(F.col(key).alias("__rk_key"),
+                            (_rows_before(order) + 1).cast("long").alias(rank_col))
+        r = F.broadcast(ranks)
+        return df.join(r, df[key].eqNullSafe(r["__rk_key"]), "inner").drop("__rk_key")
     ranks, n_keys = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
                                single_task_max_keys)
     if n_keys <= broadcast_max_rows:

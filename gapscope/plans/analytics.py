@@ -44,10 +44,12 @@ def q2_ranking(mart_state: DataFrame) -> DataFrame:
         .orderBy("rank", "state_name"))
 
 
-def q3_fiber(mart_state: DataFrame, edge: int = FIBER_EDGE) -> DataFrame:
+def q3_fiber(mart_state: DataFrame, edge: int = FIBER_EDGE,
+             state_bound: int | None = None) -> DataFrame:
     base = (mart_state.filter(F.col("fiber_penetration_pct").isNotNull())
             .select("state_name", "fiber_penetration_pct", "broadband_penetration_pct"))
-    ranked = global_rank(base, "fiber_penetration_pct", ascending=False, rank_col="fiber_rank")
+    ranked = global_rank(base, "fiber_penetration_pct", ascending=False, rank_col="fiber_rank",
+                         key_bound=state_bound)
     n_ranked = base.agg(F.count(F.lit(1))).scalar()  # uncorrelated scalar subquery
     r = F.col("fiber_rank")
     category = (F.when(r <= edge, "Fiber Leader")

@@ -160,7 +160,7 @@ def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
     if state_bound is None:
         state_bound = stg_state.count()
     marts = {  # built inside the threads: the region rank runs jobs as it plans
-        "mart_state_broadband_summary": lambda: models.mart_state(stg_state),
+        "mart_state_broadband_summary": lambda: models.mart_state(stg_state, state_bound),
         "mart_underserved_counties":
             lambda: models.mart_underserved(stg_county, stg_state, state_bound),
     }

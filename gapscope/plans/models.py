@@ -75,9 +75,10 @@ MART_STATE_COLUMNS = [
 ]
 
 
-def mart_state(stg_state: DataFrame) -> DataFrame:
+def mart_state(stg_state: DataFrame, state_bound: int | None = None) -> DataFrame:
+    """``state_bound``: proven upper bound on the number of regions, if known."""
     ranked = global_rank(stg_state, "broadband_penetration_pct", ascending=False,
-                         rank_col="broadband_rank")
+                         rank_col="broadband_rank", key_bound=state_bound)
     return ranked.select(
         "state_name", "state_fips", *COUNT_COLUMNS, "broadband_penetration_pct",
         "broadband_rank",

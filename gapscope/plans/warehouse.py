@@ -82,7 +82,7 @@ class Warehouse:
 
     # ── marts ───────────────────────────────────────────────────────────────
     def mart_state_lazy(self) -> DataFrame:
-        return models.mart_state(self.stg_state())
+        return models.mart_state(self.stg_state(), self.state_bound)
 
     def mart_underserved_lazy(self) -> DataFrame:
         return models.mart_underserved(self.stg_county(), self.stg_state(), self.state_bound)

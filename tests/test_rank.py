@@ -74,3 +74,11 @@ def test_ranges_really_split(spark):
     ranks = key_ranks(df, "k", partitions=5, single_task_max_keys=0)
     assert ranks.select("k").count() == 100
     assert sorted(r.rank for r in ranks.collect()) == list(range(1, 101))
+
+
+def test_known_key_bound_path_matches(spark):
+    vals = [90.0, 90.0, 85.5, None, 70.0, 85.5, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, k double")
+    for ascending in (False, True):
+        got = global_rank(df, "k", ascending=ascending, rank_col="r", key_bound=len(vals))
+        assert [r.r for r in sorted(got.collect(), key=lambda r: r.id)] == brute_rank(vals, ascending)
