@@ -15,7 +15,7 @@ grows with ``lineitem``:
    left-joined to the counts, which are already hash-partitioned on the
    customer key, so only ``customer`` moves;
 5. the region relation is the same per-customer counts summed by nation —
-   a 25-group aggregate, reusing step 3's exchange.
+   a group-by over the (written) per-customer table, one row per nation.
 
 Planted nulls / zero totals / a missing region follow FIXTURES.md.
 """
