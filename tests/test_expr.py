@@ -73,3 +73,27 @@ def test_average_on_a_half_is_order_independent(spark):
     for order in (vals, vals[::-1], sorted(vals)):
         df = spark.createDataFrame([(v,) for v in order], "x double").repartition(3)
         assert df.agg(E.avg_rounded("x").alias("a")).collect()[0].a == 74.86
+
+
+def test_rounding_matches_engines_on_random_ratios(spark):
+    """SQL ROUND (DuckDB), pandas round and the integer cast, on 20,000 ratios."""
+    import duckdb
+    import numpy as np
+    rng = np.random.default_rng(7)
+    num = rng.integers(0, 5000, 20000)
+    den = rng.integers(1, 5000, 20000)
+    ratio_mul = num * 100.0 / den            # multiply first (SQL side)
+    ratio_div = num / den * 100              # divide first (pandas side)
+    halves = rng.integers(-2000, 2000, 2000) / 2.0 + 0.0   # exact .5 cases for the cast
+    xs = list(map(float, np.concatenate([ratio_mul, ratio_div, halves])))
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    got = {r.i: r for r in df.select("i", E.round_half_away("x").alias("a"),
+                                     E.round_half_even("x").alias("e"),
+                                     E.cast_int("x").alias("c")).collect()}
+    con = duckdb.connect()
+    duck = con.execute("SELECT round(x, 2), CAST(x AS INTEGER) FROM (SELECT unnest(?) AS x)",
+                       [xs]).fetchall()
+    pandas_even = np.round(np.array(xs), 2)
+    bad = [i for i, x in enumerate(xs)
+           if (got[i].a, got[i].c) != duck[i] or got[i].e != pandas_even[i]]
+    assert bad == []
