@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from ..operators.quality import check_suite, describe, null_profile, table_row_counts
 from ..session import fresh_dir, materialize, run_concurrently
 from ..sinks import catalog
-from ..sinks.landing import (dataset_record, export_csv, land_api_responses, land_csv,
-                             load_full_refresh, write_manifest)
+from ..sinks.landing import (dataset_record_from_profile, export_csv, land_api_responses,
+                             land_csv, load_full_refresh, write_manifest)
 from ..sources.households import (COUNT_COLUMNS, DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT,
                                   LEVEL_COUNTY, LEVEL_STATE, raw_relations)
 from ..sources.landing import (latest_snapshot, read_api_responses, read_landed_csv,
@@ -91,14 +91,20 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
                                   counts_path=f"{root}/acquired/customer_counts")
     landing = f"{root}/landing"
 
+    def profile_and_record(landed, name, source, snapshot):
+        # one scan of the snapshot: the profile's row count feeds the manifest
+        path = f"{root}/quality/{name}_{run_id}"
+        null_profile(landed).write.mode("overwrite").parquet(path)
+        return dataset_record_from_profile(spark.read.parquet(path), landed.columns, name,
+                                           source, snapshot)
+
     def land(name, level, keys, source, df):
         responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys)
         parsed = read_api_responses(spark, responses, level, keys, ingested_at)
         snapshot = land_csv(parsed, landing, name, run_id)
         # profile and count the snapshot just written (documents parse once)
         landed = read_landed_csv(spark, snapshot, landed_schema(keys))
-        null_profile(landed).write.mode("overwrite").parquet(f"{root}/quality/{name}_{run_id}")
-        return name, snapshot, dataset_record(landed, name, source, snapshot)
+        return name, snapshot, profile_and_record(landed, name, source, snapshot)
 
     def land_open_data():
         df = read_open_csv(spark, open_data_path, ingested_at) if open_data_path else None
@@ -106,9 +112,8 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
             return None
         snapshot = land_csv(df, landing, OPEN_DATASET, run_id)
         landed = spark.read.option("header", True).option("escape", '"').csv(snapshot)
-        null_profile(landed).write.mode("overwrite").parquet(
-            f"{root}/quality/{OPEN_DATASET}_{run_id}")
-        return OPEN_DATASET, snapshot, dataset_record(landed, OPEN_DATASET, OPEN_SOURCE, snapshot)
+        return OPEN_DATASET, snapshot, profile_and_record(landed, OPEN_DATASET, OPEN_SOURCE,
+                                                          snapshot)
 
     done = run_concurrently(
         lambda: land(STATE_DATASET, LEVEL_STATE, STATE_KEYS, STATE_SOURCE, state),

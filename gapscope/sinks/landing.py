@@ -80,6 +80,16 @@ def dataset_record(landed: DataFrame, name: str, source: str, file: str) -> Data
         F.lit(file).alias("file"))
 
 
+def dataset_record_from_profile(profile: DataFrame, columns: list[str], name: str,
+                                source: str, file: str) -> DataFrame:
+    """Manifest entry whose row count comes from an already written null profile
+    (its ``n_rows``), so the landed data is not scanned a second time."""
+    return profile.agg(F.coalesce(F.max("n_rows"), F.lit(0)).cast("long").alias("rows")).select(
+        F.lit(name).alias("name"), F.lit(source).alias("source"), "rows",
+        F.array(*[F.lit(c) for c in columns]).alias("columns"),
+        F.lit(file).alias("file"))
+
+
 def write_manifest(spark: SparkSession, directory: str, run_id: str,
                    records: list[DataFrame]) -> str:
     """``manifest_<run>.json``: run id, version and the dataset records."""
