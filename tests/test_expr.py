@@ -97,3 +97,12 @@ def test_rounding_matches_engines_on_random_ratios(spark):
     bad = [i for i, x in enumerate(xs)
            if (got[i].a, got[i].c) != duck[i] or got[i].e != pandas_even[i]]
     assert bad == []
+
+
+def test_lenient_coercion_edge_cases(spark):
+    import pandas as pd
+    cells = ["1,000", "inf", "-666666666", "", "  ", "2.50", "+3"]
+    df = _one_col(spark, cells, "string")
+    got = [r.v for r in df.select(E.coerce_double("x").alias("v")).collect()]
+    want = pd.to_numeric(pd.Series(cells), errors="coerce").tolist()
+    assert [None if w != w else float(w) for w in want] == got
