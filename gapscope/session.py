@@ -14,7 +14,6 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark import InheritableThread
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +26,9 @@ def build_session(master: str | None = None, app: str = "gapscope",
     """Session with the settings this engine is tuned for.
 
     AQE stays on (runtime coalescing, skew-join splitting, SMJ→BHJ when a
-    shuffled side turns out small).  ``shuffle_partitions`` should be sized
-    to the data on a cluster; locally it defaults to the core count.
+    shuffled side turns out small).  Size shuffles with ``shuffle_partitions``
+    or, from the input bytes, with ``apply_scale_settings``; left unset,
+    Spark's default applies.
     """
     builder = SparkSession.builder.appName(app)
     if master:
