@@ -183,8 +183,12 @@ def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
         }
 
         def export_one(name, order):
+            # the region mart is bounded by the nation count: one file is safe;
+            # the sub-region mart grows with the data: sorted part files
+            single = name == "mart_state_broadband_summary"
             run.export_paths[name] = export_csv(run.mart(name),
-                                                f"{root}/output/{EXPORT_FILES[name]}", order)
+                                                f"{root}/output/{EXPORT_FILES[name]}", order,
+                                                single_file=single)
 
         run_concurrently(*[lambda n=n, o=o: export_one(n, o) for n, o in orders.items()])
     return run

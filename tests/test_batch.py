@@ -106,3 +106,13 @@ def test_input_bytes_lists_metadata(spark):
     n = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet", f"{SF_SMALL}/orders.parquet"])
     assert n == (os.path.getsize(f"{SF_SMALL}/lineitem.parquet")
                  + os.path.getsize(f"{SF_SMALL}/orders.parquet"))
+
+
+def test_region_export_is_one_sorted_file(spark, run):
+    parts = glob.glob(os.path.join(_local(run.export_paths["mart_state_broadband_summary"]),
+                                   "part-*.csv"))
+    assert len(parts) == 1
+    mart = run.mart("mart_state_broadband_summary")
+    df = spark.read.schema(mart.schema).option("header", True).csv(parts[0])
+    ranks = [r.broadband_rank for r in df.collect()]
+    assert ranks == sorted(ranks) and len(ranks) == 24
