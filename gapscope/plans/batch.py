@@ -31,6 +31,7 @@ from ..sources.households import (COUNT_COLUMNS, DEFAULT_INGESTED_AT, DEFAULT_LO
                                   LEVEL_COUNTY, LEVEL_STATE, raw_relations)
 from ..sources.landing import (latest_snapshot, read_api_responses, read_landed_csv,
                                read_open_csv)
+from ..sources.tables import row_count
 from . import analytics, models
 
 DEFAULT_RUN_ID = "20240101_000000"
@@ -87,8 +88,12 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
     absent the run continues without it (it is landed and recorded, never
     loaded into the raw tables).
     """
+    counts_path = f"{root}/acquired/customer_counts"
     state, county = raw_relations(spark, sf_dir, ingested_at=ingested_at,
-                                  counts_path=f"{root}/acquired/customer_counts")
+                                  counts_path=counts_path)
+    # document sizing bounds: one sub-region per customer row, regions ≤ nations
+    bounds = {STATE_DATASET: row_count(spark, sf_dir, "nation"),
+              COUNTY_DATASET: spark.read.parquet(counts_path).count()}
     landing = f"{root}/landing"
 
     def profile_and_record(landed, name, source, snapshot):
@@ -99,7 +104,8 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
                                            source, snapshot)
 
     def land(name, level, keys, source, df):
-        responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys)
+        responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys,
+                                       n_rows=bounds[name])
         parsed = read_api_responses(spark, responses, level, keys, ingested_at)
         snapshot = land_csv(parsed, landing, name, run_id)
         # profile and count the snapshot just written (documents parse once)

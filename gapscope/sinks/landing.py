@@ -44,13 +44,15 @@ def land_csv(df: DataFrame, directory: str, name: str, run_id: str) -> str:
 def land_api_responses(raw: DataFrame, path: str, geo_keys: list[str],
                        rows_per_doc: int = 5000,
                        unparsable: Column | None = None,
-                       unparsable_column: str = "households_fiber_optic") -> str:
+                       unparsable_column: str = "households_fiber_optic",
+                       n_rows: int | None = None) -> str:
     """Write a raw relation back out as census-style response documents.
 
     Cells become text (counts as whole numbers, NULL stays JSON null); rows
     are spread over ``ceil(n / rows_per_doc)`` documents by a hash of the
     geography key, so a hot region never makes one oversized document.
     ``unparsable`` (a predicate) replaces ``unparsable_column`` with ``'x'``.
+    ``n_rows`` (an upper bound on the rows, if already known) spares a count.
     """
     codes = {v: k for k, v in CENSUS_VARIABLES.items()}
     header = [codes[c] for c in COUNT_COLUMNS] + ["NAME", *geo_keys]
@@ -63,7 +65,7 @@ def land_api_responses(raw: DataFrame, path: str, geo_keys: list[str],
 
     cells = F.array(*[count_text(c) for c in COUNT_COLUMNS], F.col("geography_name"),
                     *[F.col(k) for k in geo_keys])
-    n = raw.count()
+    n = n_rows if n_rows is not None else raw.count()
     n_docs = max(1, -(-n // rows_per_doc))
     doc = F.concat(F.array(F.array(*[F.lit(h) for h in header])), F.collect_list(cells))
     (raw.groupBy(F.pmod(F.xxhash64(*geo_keys), F.lit(n_docs)).alias("doc_id"))
