@@ -90,6 +90,7 @@ class Warehouse:
     def build_marts(self) -> "Warehouse":
         if not self._marts_built:
             self.stg_state()   # shared by both marts: written once, before either starts
+            self.state_bound   # likewise resolved once, not raced by the two threads
             run_concurrently(
                 lambda: self.mart_state_lazy().write.mode("overwrite").parquet(
                     self.path("marts", MART_TABLES[0])),
