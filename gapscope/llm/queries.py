@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gapscope.llm import bpe, token_counts, url_filter
+from gapscope.llm import bpe, mixing, sharding, token_counts, url_filter
 from gapscope.llm.common import table
 
 #: Folder of the vocabulary files; they are read where the tasks run.
@@ -23,6 +24,19 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.record_bytes(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    dealt = sharding.deal(sharding.external_shuffle(docs, "size"), 40)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -33,7 +47,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
+    "op5_sharding": op5_sharding,
+    "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
