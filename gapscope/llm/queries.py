@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscope.llm import bpe, mixing, sharding, token_counts, url_filter
+from gapscope.llm import bpe, mixing, quality_rules, sharding, token_counts, url_filter
 from gapscope.llm.common import table
 
 #: Folder of the vocabulary files; they are read where the tasks run.
@@ -19,6 +19,11 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge_quality(docs).select("doc_id", *quality_rules.ADDED)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -46,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
     "op8_mixing": op8_mixing,
