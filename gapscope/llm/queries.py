@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscope.llm import bpe, mixing, quality_rules, sharding, token_counts, url_filter
-from gapscope.llm.common import table
+from gapscope.llm import bpe, mixing, quality_pu, quality_rules, sharding, token_counts, topk, url_filter
+from gapscope.llm.common import held_out, table
 
 #: Folder of the vocabulary files; they are read where the tasks run.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -19,6 +19,14 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer, _ = quality_pu.learn(docs, table(spark, sf_dir, "labels"))
+    scored = quality_pu.score_quality(docs, scorer)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge_quality(docs).select("doc_id", *quality_rules.ADDED)
@@ -37,6 +45,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -51,11 +63,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_pu": op1_quality_pu,
     "op2_quality_rules": op2_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
+    "op6_topk": op6_topk,
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE, "op8_mixing": mixing.ORACLE}
