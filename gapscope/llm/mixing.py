@@ -57,14 +57,13 @@ def _running(df: DataFrame, group: list[str], cell: str, order: list, size: str,
     cells = df.groupBy(*group, cell).agg(F.sum(size).alias("_cell_sum"))
     before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("_before", F.coalesce(F.sum("_cell_sum").over(before), F.lit(0))).drop("_cell_sum")
-    same = [df[c].eqNullSafe(cells[c]) for c in [*group, cell]]
-    joined = df.join(cells, same, "left").select(df["*"], cells["_before"])
+    joined = df.join(cells, [*group, cell])  # no group or cell is null
     inside = Window.partitionBy(*group, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.withColumn(out, F.col("_before") + F.sum(size).over(inside)).drop("_before")
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        share: float = 1.5, passes: int = 2, seed: int = 17) -> DataFrame:
+        share: float = 1.5, passes: int = 2, seed: int = 17, carry: list[str] | None = None) -> DataFrame:
     """Adds size, source_size, target, copies, taken and finish to every row of ``df``.
 
     size: words of the text (null: 0).  copies: how often the mix takes the row
@@ -74,14 +73,15 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     interchangeable.  A null source is a source of its own.  Documents without words take part
     with size 0; sources without words have target 0 and are taken whole at time
     0.  An empty table gives an empty result.  Input columns named like the
-    added ones are replaced, all others stay.
+    added ones are replaced, all others stay, or only those of ``carry``.
     """
     added = {"size", "source_size", "target", "copies", "taken", "finish"} - {doc_id.lower(), text.lower(), source.lower()}
     df = without(df, *added)
     row = free_name(df, "mix_row")
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(quoted(doc_id)).cast("string"), F.lit("null"))))
     # a row's own columns travel as one struct, so that their names cannot clash
-    plan = df.select(F.struct(*[quoted(c) for c in df.columns]).alias(row), F.col(quoted(source)).alias("source"),
+    carried = df.columns if carry is None else [c for c in carry if c in df.columns]
+    plan = df.select(F.struct(*[quoted(c) for c in carried]).alias(row), F.col(quoted(source)).alias("source"),
                      F.col(quoted(doc_id)).alias("doc_id"), n_words(F.col(quoted(text))).alias("size"),
                      order.alias("order_key"), F.crc32(F.coalesce(F.col(quoted(text)), F.lit(""))).alias("order_last"))
     plan = materialize(plan, "mix")
@@ -98,11 +98,12 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     keys = ["order_key", "doc_id", "size", "order_last"]
     queued = _running(plan.withColumn("cell", cell), ["source_rank"], "cell", keys, "size", "queue_words").drop("cell", "n_rows")
     time = lambda words: F.when(F.col("target") > 0, words / F.col("target")).otherwise(0.0)
-    queued = materialize(queued.withColumn("finish", time(F.col("queue_words"))), "mix-queues")
+    queued = queued.withColumn("finish", time(F.col("queue_words")))
 
     # where the budget ends: sums by bins of time, then a running sum inside the one bin that crosses it
     copy = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("copy")
-    copies = queued.select("source_rank", *keys, "target", "source_size", "queue_words", copy).withColumn(
+    narrow = materialize(queued.select("source_rank", *keys, "target", "source_size", "queue_words"), "mix-queues")
+    copies = narrow.select("*", copy).withColumn(
         "at", time(F.col("queue_words") + F.col("copy") * F.col("source_size")))
     bins = max(1, n_rows // CELL_ROWS)
     copies = copies.withColumn("bin", F.least(F.floor(F.col("at") * bins), F.lit(4 * bins)))
