@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscope.llm import bpe, mixing, quality_pu, quality_rules, sharding, token_counts, topk, url_filter
+from gapscope.llm import bpe, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, url_filter
 from gapscope.llm.common import held_out, table
 
 #: Folder of the vocabulary files; they are read where the tasks run.
@@ -49,6 +49,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
     "op6_topk": op6_topk,
+    "op7_near_dup": op7_near_dup,
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
