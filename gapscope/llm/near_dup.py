@@ -91,13 +91,15 @@ def weights(h: np.ndarray, tf: np.ndarray, rarity: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two (sorted hashes, weights)."""
+    """The larger of the weighted and the plain Jaccard similarity of two (sorted hashes, weights):
+    at the threshold, weights add links and never cost one that the shingles alone would give."""
     if not len(a[0]) or not len(b[0]):
         return 0.0
     at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
     same = b[0][at] == a[0]
     common = np.minimum(a[1][same], b[1][at[same]]).sum()
-    return float(common / (a[1].sum() + b[1].sum() - common))
+    weighted, n = common / (a[1].sum() + b[1].sum() - common), same.sum()
+    return float(max(weighted, n / (len(a[0]) + len(b[0]) - n)))
 
 
 @lru_cache(maxsize=1)
@@ -333,8 +335,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """(doc_id, class_id) for every row: class_id is the smallest doc_id among the documents of one class.
 
     A class is a component of links between documents whose five-word shingles
-    have a (dampened TF-IDF) weighted Jaccard similarity of at least ``similar``;
-    equal texts are always linked.  Null texts count as empty; texts without
+    have a Jaccard similarity, dampened TF-IDF weighted or plain, of at least
+    ``similar``; equal texts are always linked.  Null texts count as empty; texts without
     words are like their equals only; texts of 1 to 4 words are one shingle.
     Repeated rows stay, each with its class; null ids are members but never
     name a class that has another id.  An empty table has no classes.
