@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapscope.llm.common import WORD_GAP, free_name, quoted, without, words
+from gapscope.session import materialize
 
 #: Words of a window that counts as a repeat.
 WINDOW = 5
@@ -131,7 +132,7 @@ def log_odds(prior: float, tables: list[dict[int, tuple[float, float]]], votes:
     return math.log(prior / (1 - prior)) + sum(math.log(t[v][1] / t[v][0]) for t, v in zip(tables, votes))
 
 
-def judge_quality(df: DataFrame, text: str = "text") -> DataFrame:
+def judge_quality(df: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Adds the base counts, base_failed, quality_posterior and kept to every row.
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated
@@ -139,16 +140,17 @@ def judge_quality(df: DataFrame, text: str = "text") -> DataFrame:
     blank texts have no words and so fail the base; repeated rows are judged
     alike (each counts in the estimate); of an empty table nothing is estimated
     and nothing returned.  Input columns named like the added ones are replaced,
-    others stay.
+    others stay, or only those of ``carry``.  Texts are read once: the counts are
+    written with the carried columns, and votes, estimates and verdicts come from there.
     """
     df = without(df, *{*ADDED} - {text.lower()})
     stats = free_name(df, "rule_stats")
-    counted = with_statistics(df, text, stats)
+    kept = [quoted(c) for c in df.columns if carry is None or c in carry]
+    counted = materialize(with_statistics(df, text, stats).select(*kept, stats), "rule-stats")
     votes = F.array(*[vote(stats, r) for r in RULES])
     failed = ((F.col(f"{stats}.n_words") < 10)
               | (100 * F.col(f"{stats}.n_repeat_words") > 20 * F.col(f"{stats}.n_words")))
-    patterns = (with_statistics(df.select(quoted(text)), text, stats).groupBy(votes.alias("votes")).agg(F.count("*").alias("n"))
-                .orderBy("votes").collect())
+    patterns = counted.groupBy(votes.alias("votes")).agg(F.count("*").alias("n")).orderBy("votes").collect()
     prior, tables = estimate([(tuple(p.votes), p.n) for p in patterns])
     if not tables:
         tables = [{v: (0.5, 0.5) for v in (-1, 0, 1)} for _ in RULES]

@@ -29,7 +29,7 @@ def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.judge_quality(docs).select("doc_id", *quality_rules.ADDED)
+    return quality_rules.judge_quality(docs, carry=["doc_id"]).select("doc_id", *quality_rules.ADDED)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
