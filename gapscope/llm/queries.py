@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscope.llm import bpe, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, url_filter
+from gapscope.llm import bpe, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
 
 #: Folder of the vocabulary files; they are read where the tasks run.
@@ -32,6 +32,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(docs, carry=["doc_id"]).select("doc_id", *quality_rules.ADDED)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -69,6 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_pu": op1_quality_pu,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
     "op6_topk": op6_topk,
