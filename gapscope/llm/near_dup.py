@@ -40,11 +40,13 @@ DAMPING = 0.1
 #: Document frequencies are counted by hash bucket: a table of fixed size, an upper bound for each shingle.
 DF_BUCKETS = 1 << 18
 #: Nodes of a bucket that are compared at once by samples, and the share of equal samples from which a pair is verified.
-BLOCK, MAYBE = 512, 0.62
+BLOCK, MAYBE = 256, 0.62
 #: Nodes up to which their list (some 50 bytes each) is broadcast to pick their texts; beyond, it is a shuffled join.
 BROADCAST_NODES = 400_000
 #: Shingles that are worked on at once, and distinct words whose hashes a worker keeps.
 CHUNK, CACHE_WORDS = 150_000, 500_000
+#: Shingles of nodes that a verifying task keeps.
+KEPT = 2_000_000
 
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
@@ -198,23 +200,31 @@ def signatures(docs: DataFrame, rarity) -> DataFrame:
     return docs.mapInArrow(task, "node binary, samples binary, bands array<long>")
 
 
+class _Features:
+    """Shingles and weights by node, the last used kept up to ``KEPT`` shingles in all."""
+
+    def __init__(self, rarity):
+        self.rarity, self.known, self.total = rarity, OrderedDict(), 0
+
+    def __call__(self, node: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+        if node in self.known:
+            self.known.move_to_end(node)
+            return self.known[node]
+        h, tf = shingles(text)
+        self.known[node] = h, weights(h, tf, self.rarity.value)
+        self.total += len(h)
+        while self.total > KEPT and len(self.known) > 2:
+            self.total -= len(self.known.popitem(last=False)[1][0])
+        return self.known[node]
+
+
 def verified(pairs: DataFrame, texts: DataFrame, rarity, similar: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole texts have a weighted Jaccard similarity of at least ``similar``."""
     left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[bytes, tuple] = OrderedDict()
-
-        def features(node: bytes, text: str) -> tuple:
-            if node not in known:
-                h, tf = shingles(text)
-                known[node] = h, weights(h, tf, rarity.value)
-                if len(known) > 256:
-                    known.popitem(last=False)
-            known.move_to_end(node)
-            return known[node]
-
+        features = _Features(rarity)
         for batch in batches:
             a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
             good = [similarity(features(x, s), features(y, t)) >= similar for x, y, s, t in zip(a, b, ta, tb)]
@@ -244,48 +254,60 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def maybe_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose samples agree often enough, each once.
+def block_links(members: DataFrame, rarity, similar: float) -> DataFrame:
+    """Links (a, b) between nodes of one bucket and different components.
 
-    ``members`` has (bucket, node, label, samples, outside, n): outside is true for
-    nodes that are not in the bucket's largest component.  Buckets are cut into
-    blocks of some ``BLOCK`` nodes; every block of outside nodes meets every block.
+    ``members`` has (bucket, band, node, label, samples, text, outside, n): outside is
+    true for nodes that are not in the bucket's largest component.  Buckets are
+    cut into blocks of some ``BLOCK`` nodes; every block of outside nodes meets
+    every block.  Pairs whose samples agree often enough are verified where they
+    meet (in the first band that they share), so that only links leave the task,
+    and of a node no more than one to each component of a block.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - 1)
-    rows = members.select("bucket", "node", "label", "samples", "outside", own.alias("own"), every.alias("every"))
-    asks = rows.where("outside").select("bucket", F.col("own").alias("i"), F.explode("every").alias("j"), F.lit(True).alias("asks"), "node", "label", "samples")
-    meets = rows.select("bucket", F.explode("every").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"), "node", "label", "samples")
+    rows = members.select("bucket", "band", "node", "label", "samples", "text", "outside", own.alias("own"), every.alias("every"))
+    rest = ["band", "node", "label", "samples", "text"]
+    asks = rows.where("outside").select("bucket", F.col("own").alias("i"), F.explode("every").alias("j"), F.lit(True).alias("asks"), *rest)
+    meets = rows.select("bucket", F.explode("every").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"), *rest)
     dealt = asks.unionByName(meets)
     dealt = dealt.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j")
 
-    def pairs(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        left, right = [g for g in group if g[0]], [g for g in group if not g[0]]
-        if not left or not right:
-            return
-        of = lambda rows: np.array([np.frombuffer(r[3], np.uint32) for r in rows])
-        theirs, label = of(right), np.array([r[2] for r in right], object)
-        for x, mine in zip(left, of(left)):
-            close = (theirs == mine).mean(1) >= MAYBE
-            for j in np.flatnonzero(close & (label != x[2])):
-                yield min(x[1], right[j][1]), max(x[1], right[j][1])
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group, seen = None, [], set()
-        names = ["a", "b"]
+        features = _Features(rarity)
+
+        def links(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+            left, right = [g for g in group if g[0]], [g for g in group if not g[0]]
+            if not left or not right:
+                return
+            theirs = np.array([np.frombuffer(r[4], np.uint32) for r in right])
+            for _, band, x, mine, samples, text in left:
+                same = theirs == np.frombuffer(samples, np.uint32)
+                first = same.reshape(len(right), BANDS, ROWS).all(2).argmax(1)
+                share, reached = same.mean(1), {mine}
+                maybe = np.flatnonzero((share >= MAYBE) & (first == band))
+                for j in maybe[np.argsort(-share[maybe], kind="stable")]:
+                    _, _, y, label, _, other = right[j]
+                    if label not in reached and similarity(features(x, text), features(y, other)) >= similar:
+                        reached.add(label)
+                        yield min(x, y), max(x, y)
+
+        def batch_of(found: set) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        key, group, found = None, [], set()
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for bucket, i, j, *rest in zip(*columns):
+            for bucket, i, j, *rest in zip(*[batch.column(c).to_pylist() for c in range(9)]):
                 if (bucket, i, j) != key:
-                    seen.update(pairs(group))
+                    found.update(links(group))
                     key, group = (bucket, i, j), []
-                    if len(seen) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in seen], pa.binary()) for k in (0, 1)], names=names)
-                        seen = set()
+                    if len(found) > 20_000:
+                        yield batch_of(found)
+                        found = set()
                 group.append(tuple(rest))
-        seen.update(pairs(group))
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in seen], pa.binary()) for k in (0, 1)], names=names)
+        found.update(links(group))
+        yield batch_of(found)
 
     return dealt.mapInArrow(task, "a binary, b binary").distinct()
 
@@ -302,7 +324,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     noded = docs.select(node_of(F.col("text")).alias("node"), "text")
     signed = materialize(signatures(noded, rarity).where(F.col("bands").isNotNull())
                          .groupBy("node").agg(F.first("samples").alias("samples"), F.first("bands").alias("bands")), "signatures")
-    banded = signed.select("node", F.explode("bands").alias("bucket"))
+    banded = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(banded.join(sizes, "bucket"), "buckets")
 
@@ -323,12 +345,10 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
     spans = parts.groupBy("bucket").agg(F.max(F.struct("m", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
     members = labelled.where("n > 2").join(spans, "bucket").withColumn("outside", F.col("label") != F.col("largest"))
-    members = members.join(signed.select("node", "samples"), "node").select("bucket", "node", "label", "samples", "outside", "n")
-    more = materialize(maybe_pairs(members).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if more.isEmpty():
-        return labels
-    found = materialize(verified(more, texts, rarity, similar), "links")
-    return components(links.union(found))
+    members = members.join(signed.select("node", "samples"), "node").join(texts, "node").select(
+        "bucket", "band", "node", "label", "samples", "text", "outside", "n")
+    more = materialize(block_links(members, rarity, similar), "links")
+    return labels if more.isEmpty() else components(links.union(more))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
