@@ -93,6 +93,49 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store (through Hadoop, so any store Spark can write)."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one computation, removed when it is done with them.
+
+    ``write`` materializes a DataFrame under the shared folder; on leaving the
+    ``with`` block every table that was not handed to ``keep`` is deleted, also
+    after an error.  Only what no longer depends on a table may outlive it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_dir(self.spark, label)
+        df.write.parquet(path)
+        table = self.spark.read.parquet(path)
+        self._paths[id(table)] = table, path
+        return table
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self._paths.pop(id(table), None)
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        _, path = self._paths.pop(id(table))
+        delete_path(self.spark, path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for _, path in self._paths.values():
+            delete_path(self.spark, path)
+        self._paths.clear()
+
+
 def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
     """Run independent driver-side steps (each submitting its own Spark jobs)
     at once, so a small job (the region branch) overlaps a large one instead
