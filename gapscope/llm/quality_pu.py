@@ -69,8 +69,12 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Adam over all rows at once; ``gradient(margins)`` gives the risk's derivative by each row's margin."""
+def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02) -> tuple[np.ndarray, float]:
+    """Adam over all rows at once; ``gradient(margins)`` gives the risk's derivative by each row's margin.
+
+    The fewer the rows, the more large weights cost.
+    """
+    ridge = 10 / max(1, len(x)) * max(1, 3000 / max(1, len(x)))
     w, b = np.zeros(x.shape[1]), 0.0
     m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
@@ -86,15 +90,15 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     """Share of positives among unlabelled rows, from held-back margins of both.
 
     At a high enough threshold all that passes is positive, and the ratio of the
-    shares that pass is the prior; the threshold chosen is that of the smallest
-    upper bound of the ratio.
+    shares that pass is the prior.  Every threshold's ratio bounds it from above,
+    with an allowance for sampling error; the smallest bound is taken, so that
+    small samples rather call a good document good than a bad one bad.
     """
     cuts = np.unique(np.quantile(positive, np.linspace(0.005, 0.95, 190)))
     q_p = np.array([(positive >= c).mean() for c in cuts])
     q_u = np.array([(unlabelled >= c).mean() for c in cuts])
     slack = np.sqrt(np.log(4 / delta) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
-    best = np.argmin((q_u + 0.5 * slack) / q_p)
-    return float(np.clip(q_u[best] / q_p[best], 0.02, 0.98))
+    return float(np.clip(((q_u + slack) / q_p).min(), 0.02, 0.995))
 
 
 def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Scorer, float]:
