@@ -52,9 +52,12 @@ def targets(sources: DataFrame, share: float = 1.5, passes: int = 2) -> DataFram
     return out.withColumn("target", F.least(cap, F.col("weight") * F.coalesce(level, F.lit(0.0)))).drop("ratio", "level")
 
 
-def _running(df: DataFrame, group: list[str], cell: str, order: list, size: str, out: str) -> DataFrame:
-    """Adds ``out``: the sum of ``size`` over the rows of ``group`` up to this one, by cells in order, then ``order``."""
-    cells = df.groupBy(*group, cell).agg(F.sum(size).alias("_cell_sum"))
+def _running(df: DataFrame, sized: DataFrame, group: list[str], cell: str, order: list, size: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``size`` over the rows of ``group`` up to this one, by cells in order, then ``order``.
+
+    ``sized`` has the same rows, with group, cell and size only.
+    """
+    cells = sized.groupBy(*group, cell).agg(F.sum(size).alias("_cell_sum"))
     before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("_before", F.coalesce(F.sum("_cell_sum").over(before), F.lit(0))).drop("_cell_sum")
     joined = df.join(cells, [*group, cell])  # no group or cell is null
@@ -79,30 +82,35 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     df = without(df, *added)
     row = free_name(df, "mix_row")
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(quoted(doc_id)).cast("string"), F.lit("null"))))
-    # a row's own columns travel as one struct, so that their names cannot clash
     carried = df.columns if carry is None else [c for c in carry if c in df.columns]
-    plan = df.select(F.struct(*[quoted(c) for c in carried]).alias(row), F.col(quoted(source)).alias("source"),
+    keys = ["order_key", "doc_id", "size", "order_last"]
+    # a row's own columns travel as one struct, so that their names cannot clash; all planning is done without it
+    rows = df.select(F.struct(*[quoted(c) for c in carried]).alias(row), F.col(quoted(source)).alias("source"),
                      F.col(quoted(doc_id)).alias("doc_id"), n_words(F.col(quoted(text))).alias("size"),
                      order.alias("order_key"), F.crc32(F.coalesce(F.col(quoted(text)), F.lit(""))).alias("order_last"))
-    plan = materialize(plan, "mix")
+    plan = materialize(rows.drop(row), "mix")
     sources = plan.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     sources = materialize(targets(sources, share, passes), "mix-sources")
     totals = sources.agg(F.sum("source_size").alias("s"), F.sum("n_rows").alias("r"), F.count("*").alias("n")).first()
     budget, n_rows = (totals.s or 0) * share, totals.r or 0
-
-    side = F.broadcast(sources) if totals.n <= BROADCAST_SOURCES else sources
-    plan = plan.join(side, plan["source"].eqNullSafe(side["source"]), "left").select(
-        plan["*"], *[side[c] for c in ("source_size", "n_rows", "source_rank", "target")])
-    place = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
-    cell = F.floor(place * F.ceil(F.col("n_rows") / CELL_ROWS) / F.lit(1 << 32))
-    keys = ["order_key", "doc_id", "size", "order_last"]
-    queued = _running(plan.withColumn("cell", cell), ["source_rank"], "cell", keys, "size", "queue_words").drop("cell", "n_rows")
     time = lambda words: F.when(F.col("target") > 0, words / F.col("target")).otherwise(0.0)
-    queued = queued.withColumn("finish", time(F.col("queue_words")))
+
+    def queue(rows: DataFrame) -> DataFrame:
+        """Rows with their source's table row, and its words up to and including them."""
+        side = F.broadcast(sources) if totals.n <= BROADCAST_SOURCES else sources
+        joined = rows.join(side, rows["source"].eqNullSafe(side["source"]), "left").select(
+            rows["*"], *[side[c] for c in ("source_size", "n_rows", "source_rank", "target")])
+        place = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
+        cell = F.floor(place * F.ceil(F.col("n_rows") / CELL_ROWS) / F.lit(1 << 32))
+        cells = plan.join(side, plan["source"].eqNullSafe(side["source"]), "left").select(
+            "source_rank", "size", cell.alias("cell"))
+        out = _running(joined.withColumn("cell", cell), cells, ["source_rank"], "cell", keys, "size", "queue_words")
+        return out.drop("cell", "n_rows").withColumn("finish", time(F.col("queue_words")))
+
+    narrow = materialize(queue(plan).select("source_rank", *keys, "target", "source_size", "queue_words"), "mix-queues")
 
     # where the budget ends: sums by bins of time, then a running sum inside the one bin that crosses it
     copy = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("copy")
-    narrow = materialize(queued.select("source_rank", *keys, "target", "source_size", "queue_words"), "mix-queues")
     copies = narrow.select("*", copy).withColumn(
         "at", time(F.col("queue_words") + F.col("copy") * F.col("source_size")))
     bins = max(1, n_rows // CELL_ROWS)
@@ -120,7 +128,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
         end = F.struct(*[F.lit(first_left[c]).cast(copies.schema[c].dataType).alias(c) for c in total_order])
         taken = sum(F.when(F.struct(time(F.col("queue_words") + k * F.col("source_size")).alias("at"), F.col("source_rank"),
                                     *keys, F.lit(k).alias("copy")) < end, 1).otherwise(0) for k in range(passes))
-    return queued.withColumn("copies", taken.cast("int")).select(
+    return queue(rows).withColumn("copies", taken.cast("int")).select(
         f"{row}.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "finish")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapscope.llm.common import free_name, importable, quoted
-from gapscope.session import materialize
+from gapscope.session import Scratch, materialize
 
 WORDS = 5
 SIMILAR = 0.8
@@ -233,24 +233,26 @@ def verified(pairs: DataFrame, texts: DataFrame, rarity, similar: float) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(task, "a binary, b binary")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b): equal labels for connected nodes.
 
     Every round each node takes the smallest label around it, then its label's
     label; both are joins and minima over all links, until nothing changes.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("near")).select(
-        F.col("a").alias("node"), F.least("a", "near").alias("label")), "labels")
+    both = scratch.write(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    labels = scratch.write(both.groupBy("a").agg(F.min("b").alias("near")).select(
+        F.col("a").alias("node"), F.lit(None).cast("binary").alias("was"), F.least("a", "near").alias("label")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        step = labels.select("node", F.col("label").alias("was")).join(near.withColumnRenamed("a", "node"), "node").select(
+            "node", "was", F.least("was", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
         step = step.join(up, "label", "left").select("node", "was", F.least("label", "above").alias("label"))
-        step = materialize(step, "labels")
-        labels = step.select("node", "label")
+        step = scratch.write(step, "labels")
+        scratch.drop(labels)
+        labels = step
         if step.where(F.col("was") != F.col("label")).isEmpty():
+            scratch.drop(both)
             return labels
 
 
@@ -322,33 +324,37 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     importable(spark)
     rarity = spark.sparkContext.broadcast(rarity_table(docs.select("text")))
     noded = docs.select(node_of(F.col("text")).alias("node"), "text")
-    signed = materialize(signatures(noded, rarity).where(F.col("bands").isNotNull())
-                         .groupBy("node").agg(F.first("samples").alias("samples"), F.first("bands").alias("bands")), "signatures")
-    banded = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialize(banded.join(sizes, "bucket"), "buckets")
-
-    # first: every node against its bucket's centre
-    weight = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    centre = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
-    tried = shared.join(centre, "bucket").where(F.col("node") != F.col("centre")).select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    tried = materialize(tried, "pairs")
-    nodes = materialize(weight.select("node"), "nodes")
-    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
-    texts = materialize(noded.join(wanted, "node").dropDuplicates(["node"]), "texts")
-    links = materialize(verified(tried, texts, rarity, similar), "links")
-    labels = components(links)
-
-    # then: what is left of buckets that span several components
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
-    spans = parts.groupBy("bucket").agg(F.max(F.struct("m", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    members = labelled.where("n > 2").join(spans, "bucket").withColumn("outside", F.col("label") != F.col("largest"))
-    members = members.join(signed.select("node", "samples"), "node").join(texts, "node").select(
-        "bucket", "band", "node", "label", "samples", "text", "outside", "n")
-    more = materialize(block_links(members, rarity, similar), "links")
-    return labels if more.isEmpty() else components(links.union(more))
+    with Scratch(spark) as scratch:
+        signed = scratch.write(signatures(noded, rarity).where(F.col("bands").isNotNull())
+                               .groupBy("node").agg(F.first("samples").alias("samples"), F.first("bands").alias("bands")), "signatures")
+        banded = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
+        sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        shared = scratch.write(banded.join(sizes, "bucket"), "buckets")
+
+        # first: every node against its bucket's centre
+        weight = shared.groupBy("node").agg(F.sum("n").alias("met"))
+        centre = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+        tried = shared.join(centre, "bucket").where(F.col("node") != F.col("centre")).select(
+            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        tried = scratch.write(tried, "pairs")
+        nodes = scratch.write(weight.select("node"), "nodes")
+        wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+        texts = scratch.write(noded.join(wanted, "node").dropDuplicates(["node"]), "texts")
+        links = scratch.write(verified(tried, texts, rarity, similar), "links")
+        labels = components(links, scratch)
+
+        # then: what is left of buckets that span several components
+        labelled = shared.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
+        spans = parts.groupBy("bucket").agg(
+            F.max(F.struct("m", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+        members = labelled.where("n > 2").join(spans, "bucket").withColumn("outside", F.col("label") != F.col("largest"))
+        members = members.join(signed.select("node", "samples"), "node").join(texts, "node").select(
+            "bucket", "band", "node", "label", "samples", "text", "outside", "n")
+        more = scratch.write(block_links(members, rarity, similar), "links")
+        if not more.isEmpty():
+            labels = components(links.union(more), scratch)
+        return scratch.keep(labels).select("node", "label")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
