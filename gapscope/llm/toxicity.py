@@ -114,22 +114,38 @@ def kernel_rows(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
             yield mine, h, w / np.sqrt((w * w).sum(1, keepdims=True))
 
 
-def dense(words: list[str]) -> np.ndarray:
-    """Normalised triple vectors (words x HASHED)."""
-    out = np.zeros((len(words), HASHED), np.float32)
-    for rows, h, w in kernel_rows(words):
-        np.add.at(out, (rows[:, None], h), w)
-    return out
-
+@dataclass
+class Landmarks:
+    """Normalised triple vectors of the landmarks, over the hashes that any of them has."""
+
+    hashes: np.ndarray  # sorted; a last column stands for all others
+    vectors: np.ndarray  # landmarks x (hashes + 1), 0 in the last column
+
+    @classmethod
+    def of(cls, words: list[str]) -> Landmarks:
+        rows = list(kernel_rows(words))
+        hashes = np.unique(np.concatenate([h.ravel() for _, h, _ in rows]))
+        vectors = np.zeros((len(words), len(hashes) + 1), np.float32)
+        for row, h, w in rows:
+            np.add.at(vectors, (row[:, None], np.searchsorted(hashes, h)), w)
+        return cls(hashes, vectors)
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """Normalised kernel of words (pieces) with every landmark."""
+        out, by_hash = np.zeros((len(words), len(self.vectors))), np.ascontiguousarray(self.vectors.T)
+        for rows, h, w in kernel_rows(words):
+            for cut in range(0, len(rows), 200):
+                part = slice(cut, cut + 200)
+                at = np.minimum(np.searchsorted(self.hashes, h[part]), len(self.hashes) - 1)
+                at = np.where(self.hashes[at] == h[part], at, len(self.hashes))
+                out[rows[part]] = np.einsum("rt,rtm->rm", w[part], by_hash[at])
+        return out
 
-def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of words (pieces) with the landmarks' vectors."""
-    out, by_hash = np.zeros((len(words), len(landmarks))), np.ascontiguousarray(landmarks.T)
-    for rows, h, w in kernel_rows(words):
-        for cut in range(0, len(rows), 500):
-            part = slice(cut, cut + 500)
-            out[rows[part]] = np.einsum("rt,rtm->rm", w[part], by_hash[h[part]])
-    return out
+    def folded(self, amounts: np.ndarray) -> np.ndarray:
+        """By hash, the landmarks' vectors summed up with these amounts."""
+        out = np.zeros(HASHED, np.float32)
+        out[self.hashes] = (amounts @ self.vectors)[:-1]
+        return out
 
 
 @dataclass
@@ -208,14 +224,16 @@ def calibrate(value: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float
 def train(texts: list[str], toxic: np.ndarray, share: float = SHARE) -> Machine:
     """Learns from labelled documents; scores are as if ``share`` of all were toxic; with one label only, every score is that label's share."""
     if not len(texts) or toxic.all() or not toxic.any():
-        return Machine(np.zeros(HASHED), 0.0, 0.0, -6.0 if not toxic.any() else 6.0)
-    bags = [[units(s) for s in _SENTENCE.split(t) if s.strip()] for t in texts]
+        return Machine(np.zeros(HASHED, np.float32), 0.0, 0.0, -6.0 if not toxic.any() else 6.0)
+    once: dict[str, str] = {}  # one object for each distinct word
+    bags = [[tuple(once.setdefault(w, w) for w in units(s)) for s in _SENTENCE.split(t) if s.strip()] for t in texts]
     # counted over distinct sentences, as documents may be copies of each other
-    in_toxic, in_clean = Counter(), Counter()
+    in_toxic, in_clean, n1, n0 = Counter(), Counter(), 0, 0
     for counter, side in ((in_toxic, toxic), (in_clean, ~toxic)):
-        for s in {tuple(s) for bag, mine in zip(bags, side) if mine for s in bag}:
+        sentences = {s for bag, mine in zip(bags, side) if mine for s in bag}
+        for s in sentences:
             counter.update({p for w in s for p in pieces(w) if len(p) > 4})
-    n1, n0 = (len({tuple(s) for bag, mine in zip(bags, side) if mine for s in bag}) for side in (toxic, ~toxic))
+        n1, n0 = (len(sentences), n0) if counter is in_toxic else (n1, len(sentences))
     # how much more often in toxic documents' sentences, at least: both counts are taken a standard deviation to the wrong side
     typical = {w: np.log((c - np.sqrt(c)) / n1) - np.log((in_clean[w] + np.sqrt(in_clean[w]) + 1) / n0)
                for w, c in in_toxic.items() if c > 1}
@@ -225,8 +243,8 @@ def train(texts: list[str], toxic: np.ndarray, share: float = SHARE) -> Machine:
     evidence = sorted((w for w, v in typical.items() if v > np.log(3)), key=lambda w: (-typical[w], w))
     some = clean_words[:LANDMARKS // 4] + clean_words[LANDMARKS // 4::max(1, len(clean_words) // (LANDMARKS // 4))]
     marks = list(dict.fromkeys(evidence[:LANDMARKS // 2] + some))[:LANDMARKS]
-    vectors = dense(marks)
-    gram = kernel(marks, vectors)
+    landmarks = Landmarks.of(marks)
+    gram = landmarks.kernel(marks)
     values, axes = np.linalg.eigh(gram)
     root = axes[:, values > 1e-6] / np.sqrt(values[values > 1e-6])  # K^(-1/2) without null directions
 
@@ -248,12 +266,12 @@ def train(texts: list[str], toxic: np.ndarray, share: float = SHARE) -> Machine:
         negative = [w for w in negative if w not in found]
         if not positive or not negative:
             break
-        x = kernel(positive + negative, vectors) @ root
+        x = landmarks.kernel(positive + negative) @ root
         often = np.sqrt([found[p] for p in positive])  # sentences that a word stands for
         w, b = support_vectors(x, np.array([1.0] * len(positive) + [-1.0] * len(negative)), np.append(often, np.ones(len(negative))))
-        machine = Machine((root @ w) @ vectors.astype(np.float64), b, 1.0, 0.0)
+        machine = Machine(landmarks.folded(root @ w), b, 1.0, 0.0)
     if machine is None:
-        return Machine(np.zeros(HASHED), 0.0, 0.0, -6.0)
+        return Machine(np.zeros(HASHED, np.float32), 0.0, 0.0, -6.0)
     slope, offset = calibrate(machine.worst(texts), toxic, share)
     return Machine(machine.weight, machine.bias, slope, offset)
 
