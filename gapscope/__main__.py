@@ -4,8 +4,9 @@
     python -m gapscope query q4_by_state /root/testdata/sf0.01 [--rows 20]
     python -m gapscope batch /root/testdata/sf0.01 [--open-data PATH]
 
-``--master`` (default ``local[*]``) and ``--shuffle-partitions`` set the
-session; on a cluster leave the master to ``spark-submit``.
+The master is whatever ``spark-submit`` or the Spark configuration names;
+``--master local[*]`` sets one by hand.  Shuffles are sized from the input's
+bytes unless ``--shuffle-partitions`` is given.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ import sys
 
 
 def _session(args):
-    from .session import build_session
-    return build_session(args.master or None, shuffle_partitions=args.shuffle_partitions)
+    from .session import apply_scale_settings, build_session
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
+    if args.shuffle_partitions is None:
+        apply_scale_settings(spark, args.sf_dir, spark.sparkContext.defaultParallelism)
+    return spark
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="gapscope")
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
     sub.add_parser("list", help="registered query keys")
@@ -46,14 +50,14 @@ def main(argv: list[str] | None = None) -> int:
                 return 2
             SPARK[args.key](spark, args.sf_dir).show(args.rows, truncate=False)
         else:
-            from .plans.batch import previews, run_batch_job
+            from .plans.batch import run_batch_job
             run = run_batch_job(spark, args.sf_dir, open_data_path=args.open_data)
             print(f"manifest: {run.manifest_path}")
             for name, path in run.export_paths.items():
                 print(f"export {name}: {path}")
-            for label, df in previews(run).items():
+            for label, path in {**run.check_paths, **run.preview_paths}.items():
                 print(f"-- {label}")
-                df.show(truncate=False)
+                spark.read.parquet(path).show(truncate=False)
     finally:
         spark.stop()
     return 0

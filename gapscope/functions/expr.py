@@ -12,7 +12,6 @@ stay inside whole-stage codegen.
   Spark's cast truncates, so round first.
 * ``nullif_zero`` / ``pct_of`` — zero-safe ratios (``NULLIF(den, 0)``).
 * ``band`` — first-match ``CASE WHEN`` ladder; nulls fall to the ELSE label.
-* ``flag`` — boolean predicate where NULL counts as FALSE.
 """
 
 from __future__ import annotations
@@ -45,18 +44,25 @@ def avg_rounded(x, digits: int = 2) -> Column:
     the mean sits on ``.xx5``.  The values are summed as decimals (exact),
     the mean converted to the nearest double, then rounded like SQL ``ROUND``.
     """
-    exact = F.avg(_c(x).cast("decimal(38,12)"))
-    return round_half_away(exact.cast("double"), digits)
+    exact = F.avg(_c(x).try_cast("decimal(38,12)")).cast("double")
+    # infinities and NaN are no decimals: with one of them the mean is what doubles give
+    finite = F.max(F.abs(_c(x))) < float("inf")
+    return round_half_away(F.when(finite, exact).otherwise(F.avg(x)), digits)
 
 
-def cast_int(x) -> Column:
-    """Half-to-even rounding cast of a numeric or numeric-text column."""
-    return F.rint(_c(x).cast("double")).cast("int")
+def cast_int(x, kind: str = "int") -> Column:
+    """Half-to-even rounding cast of a numeric or numeric-text column (``kind``: int or bigint)."""
+    return F.rint(_c(x).cast("double")).cast(kind)
+
+
+# what counts as a number: decimal digits with point and exponent, or infinity
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 
 def coerce_double(x) -> Column:
-    """Lenient text → double: unparsable or empty gives NULL, never an error."""
-    return F.trim(_c(x).cast("string")).try_cast("double")
+    """Lenient text → double: what is no number (also ``1d``, ``0x1p3``, ``NaN``) gives NULL, never an error."""
+    text = F.trim(_c(x).cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def nullif_zero(x) -> Column:
@@ -89,11 +95,6 @@ def band(value, ladder: Sequence[tuple[str, float, str]], otherwise: str) -> Col
     return expr.otherwise(otherwise) if expr is not None else F.lit(otherwise)
 
 
-def flag(cond: Column) -> Column:
-    """``CASE WHEN cond THEN TRUE ELSE FALSE END`` (NULL → FALSE)."""
-    return F.coalesce(cond, F.lit(False))
-
-
 # ── fixed values: labels and thresholds that must equal the reference's ───────
 # access tier of a region, by broadband penetration (>=, first match wins)
 ACCESS_TIERS = [(">=", 90, "High Access"), (">=", 85, "Medium Access"),

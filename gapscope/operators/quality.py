@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,28 +85,40 @@ def check_suite(raw_state: DataFrame, raw_county: DataFrame,
     """The six post-load checks as one long frame (check, item, value).
 
     Each table's scalar checks share one scan; the two top-5 lists are
-    top-k queries (no full sort).
+    top-k queries (no full sort).  A check that cannot be planned (a table
+    lacks its column) gives one row with the error as its item and no value;
+    the others give their results.
     """
     pct = F.col("broadband_penetration_pct")
-    state_checks = _scalar_checks(raw_state, [
+    state_checks = [
         (CHECK_STATE_COUNT, "count", F.count(F.lit(1))),
         (CHECK_AVG, "avg_pct", avg_rounded(pct)),          # AVG skips NULL shares
-    ])
-    county_checks = _scalar_checks(raw_county, [
+    ]
+    county_checks = [
         (CHECK_COUNTY_COUNT, "count", F.count(F.lit(1))),
         (CHECK_OFFLINE, "county_count",
          F.count_if(F.col("households_no_internet") > F.col("total_households") * offline_share)),
-    ])
-    parts = [
-        state_checks,
-        county_checks,
-        _labelled(top_states(raw_state), CHECK_TOP5, F.col("geography_name"), pct),
-        _labelled(top_states(raw_state, ascending=True), CHECK_BOTTOM5,
-                  F.col("geography_name"), pct),
     ]
+    parts = [*_planned(lambda: _scalar_checks(raw_state, state_checks), state_checks, raw_state),
+             *_planned(lambda: _scalar_checks(raw_county, county_checks), county_checks, raw_county)]
+    for check, ascending in ((CHECK_TOP5, False), (CHECK_BOTTOM5, True)):
+        parts += _planned(lambda c=check, up=ascending: _labelled(
+            top_states(raw_state, ascending=up), c, F.col("geography_name"), pct), [(check, "", None)], raw_state)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _planned(make, checks: list[tuple[str, str, F.Column]], table: DataFrame) -> list[DataFrame]:
+    """``make()`` alone, or check by check if it cannot be planned; what still cannot is reported as a row."""
+    try:
+        return [make()]
+    except AnalysisException as e:
+        if len(checks) > 1:
+            return [df for c in checks for df in _planned(lambda c=c: _scalar_checks(table, [c]), [c], table)]
+        item = "error: " + str(e).splitlines()[0][:200]
+        return [table.sparkSession.range(1).select(F.lit(checks[0][0]).alias("check"), F.lit(item).alias("item"),
+                                                   F.lit(None).cast("double").alias("value"))]
+
+
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for each named relation — one aggregate each."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .join import BROADCAST_MAX_ROWS
+from .join import BROADCAST_MAX_BYTES, bounded_broadcast
 
 _N, _PID, _BEFORE, _OFF = "__rk_n", "__rk_pid", "__rk_before", "__rk_off"
 
@@ -62,19 +62,18 @@ def key_ranks(df: DataFrame, key: str, ascending: bool = False,
               single_task_max_keys: int = SINGLE_TASK_MAX_KEYS) -> DataFrame:
     """One row per distinct ``key`` value with its SQL RANK (bigint)."""
     return _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
-                      single_task_max_keys)[0]
+                      single_task_max_keys)
 
 
 def _key_ranks(df: DataFrame, key: str, ascending: bool, nulls_last: bool,
                rank_col: str, partitions: int | None,
-               single_task_max_keys: int) -> tuple[DataFrame, int]:
-    """(key ranks, number of distinct keys)."""
+               single_task_max_keys: int) -> DataFrame:
     order = _order(key, ascending, nulls_last)
     hist = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias(_N)), "rank-hist")
     n_keys = hist.count()          # parquet footers: cheap and exact
     if n_keys <= single_task_max_keys:
         ranks = hist.select(key, (_rows_before(order) + 1).cast("long").alias(rank_col))
-        return ranks, n_keys
+        return ranks
     # Without an explicit count AQE may coalesce neighbouring ranges, which
     # keeps them contiguous, so partition ids stay in key order.
     ranged_hist = (hist.repartitionByRange(partitions, order) if partitions
@@ -87,12 +86,12 @@ def _key_ranks(df: DataFrame, key: str, ascending: bool, nulls_last: bool,
     # offsets has one row per range partition: a proven bound, safe to broadcast.
     ranks = (local.join(F.broadcast(offsets), _PID)
              .select(key, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("long").alias(rank_col)))
-    return ranks, n_keys
+    return ranks
 
 
 def global_rank(df: DataFrame, key: str, ascending: bool = False,
                 nulls_last: bool = True, rank_col: str = "rank",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                 partitions: int | None = None,
                 single_task_max_keys: int = SINGLE_TASK_MAX_KEYS,
                 key_bound: int | None = None) -> DataFrame:
@@ -103,17 +102,15 @@ def global_rank(df: DataFrame, key: str, ascending: bool = False,
     Within the single-task and broadcast limits the histogram then stays
     lazy: one window over at most that many rows, broadcast back, one job.
     """
-    if key_bound is not None and key_bound <= min(single_task_max_keys, broadcast_max_rows):
+    if key_bound is not None and key_bound <= single_task_max_keys:
         order = _order(key, ascending, nulls_last)
         hist = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
         ranks = hist.select(F.col(key).alias("__rk_key"),
                             (_rows_before(order) + 1).cast("long").alias(rank_col))
-        r = F.broadcast(ranks)
+        r = bounded_broadcast(ranks, key_bound, broadcast_max_bytes)
         return df.join(r, df[key].eqNullSafe(r["__rk_key"]), "inner").drop("__rk_key")
-    ranks, n_keys = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
-                               single_task_max_keys)
-    if n_keys <= broadcast_max_rows:
-        ranks = F.broadcast(ranks)
-    r = ranks.withColumnRenamed(key, "__rk_key")
+    ranks = _key_ranks(df, key, ascending, nulls_last, rank_col, partitions,
+                       single_task_max_keys)
+    r = bounded_broadcast(ranks.withColumnRenamed(key, "__rk_key"), max_bytes=broadcast_max_bytes)
     return (df.join(r, df[key].eqNullSafe(r["__rk_key"]), "inner")
             .drop("__rk_key"))

@@ -86,12 +86,13 @@ def gap_index(gap="pct_below_state_avg", offline="no_internet_pct") -> F.Column:
 
 
 def q6_gap_index(mart_u: DataFrame, k: int = 25) -> DataFrame:
-    return (mart_u.select("county_name", "state_name", "county_broadband_pct",
-                          "state_broadband_pct", "pct_below_state_avg", "no_internet_pct",
-                          "total_households", gap_index().alias("broadband_gap_index"),
-                          "underserved_severity")
-            .orderBy(F.col("broadband_gap_index").desc_nulls_last(), "county_name")
-            .limit(k))
+    # ties beyond the name are settled by the natural key, which the result does not show
+    return (mart_u.withColumn("broadband_gap_index", gap_index())
+            .orderBy(F.col("broadband_gap_index").desc_nulls_last(), "county_name", "state_fips", "county_fips")
+            .limit(k)
+            .select("county_name", "state_name", "county_broadband_pct", "state_broadband_pct",
+                    "pct_below_state_avg", "no_internet_pct", "total_households",
+                    "broadband_gap_index", "underserved_severity"))
 
 
 def q7_impact(mart_u: DataFrame, k: int = 15) -> DataFrame:
@@ -126,9 +127,9 @@ def preview_states(mart_state: DataFrame, k: int = 10) -> DataFrame:
 
 
 def preview_counties(mart_u: DataFrame, k: int = 10) -> DataFrame:
-    return (mart_u.select("county_name", "state_name", "county_broadband_pct",
-                          "underserved_severity")
-            .orderBy(F.col("county_broadband_pct").asc_nulls_last(), "county_name").limit(k))
+    return (mart_u.orderBy(F.col("county_broadband_pct").asc_nulls_last(), "county_name", "state_fips", "county_fips")
+            .limit(k)
+            .select("county_name", "state_name", "county_broadband_pct", "underserved_severity"))
 
 
 def severity_counts(mart_u: DataFrame) -> DataFrame:

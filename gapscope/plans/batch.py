@@ -6,9 +6,10 @@
    recorded in a run manifest;
 2. **load** — the newest snapshot per dataset is resolved by name, read
    with an explicit schema, stamped ``loaded_at`` and full-refreshed into
-   the raw tables; row counts, schema and the check suite are produced;
-3. **transform** — namespaces, staging views, both marts as replaced
-   tables, sorted CSV exports and the previews.
+   the raw tables of the catalog; row counts, schema and the check suite are
+   written beside them;
+3. **transform** — staging views, both marts as replaced tables, sorted CSV
+   exports and the previews, all in their namespaces of the catalog.
 
 Every intermediate lives in the shared folder under ``root``; each step
 reads what the previous step wrote, so a lost executor replays one step.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import check_suite, describe, null_profile, table_row_counts
-from ..session import fresh_dir, materialize, run_concurrently
+from ..session import Scratch, fresh_dir, run_concurrently
 from ..sinks import catalog
 from ..sinks.landing import (dataset_record_from_profile, export_csv, land_api_responses,
                              land_csv, load_full_refresh, write_manifest)
@@ -67,16 +68,19 @@ class BatchRun:
     spark: SparkSession
     root: str
     run_id: str
-    raw_paths: dict[str, str] = field(default_factory=dict)
-    mart_paths: dict[str, str] = field(default_factory=dict)
+    namespaces: tuple[str, str, str] = ("raw", "staging", "marts")
+    raw_tables: dict[str, str] = field(default_factory=dict)
+    mart_tables: dict[str, str] = field(default_factory=dict)
     export_paths: dict[str, str] = field(default_factory=dict)
+    check_paths: dict[str, str] = field(default_factory=dict)
+    preview_paths: dict[str, str] = field(default_factory=dict)
     manifest_path: str = ""
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.raw_paths[name])
+        return self.spark.table(self.raw_tables[name])
 
     def mart(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.mart_paths[name])
+        return self.spark.table(self.mart_tables[name])
 
 
 def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RUN_ID,
@@ -106,7 +110,7 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
     def land(name, level, keys, source, df):
         responses = land_api_responses(df, f"{root}/responses/{name}_{run_id}", keys,
                                        n_rows=bounds[name])
-        parsed = read_api_responses(spark, responses, level, keys, ingested_at)
+        parsed = read_api_responses(spark, responses, level, keys, ingested_at, whole_files=False)
         snapshot = land_csv(parsed, landing, name, run_id)
         # profile and count the snapshot just written (documents parse once)
         landed = read_landed_csv(spark, snapshot, landed_schema(keys))
@@ -117,7 +121,7 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
         if df is None:
             return None
         snapshot = land_csv(df, landing, OPEN_DATASET, run_id)
-        landed = spark.read.option("header", True).option("escape", '"').csv(snapshot)
+        landed = read_landed_csv(spark, snapshot, df.schema)
         return OPEN_DATASET, snapshot, profile_and_record(landed, OPEN_DATASET, OPEN_SOURCE,
                                                           snapshot)
 
@@ -132,23 +136,26 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, run_id: str = DEFAULT_RU
     return snapshots, manifest
 
 
-def load(spark: SparkSession, root: str, loaded_at: str = DEFAULT_LOADED_AT) -> dict[str, str]:
+def load(run: BatchRun, loaded_at: str = DEFAULT_LOADED_AT) -> dict[str, str]:
     """Full-refresh the raw tables from the newest snapshot of each dataset."""
+    spark, root, ns = run.spark, run.root, run.namespaces[0]
+    catalog.create_namespace(spark, ns, f"{root}/{ns}.db")
+
     def load_one(name, keys):
         latest = latest_snapshot(spark, f"{root}/landing", name)
         if latest is None:
             return name, None
-        path = f"{root}/raw/{name}"
-        load_full_refresh(read_landed_csv(spark, latest, landed_schema(keys)), path, loaded_at)
-        return name, path
+        load_full_refresh(read_landed_csv(spark, latest, landed_schema(keys)), f"{ns}.{name}",
+                          f"{root}/{ns}.db/{name}", loaded_at)
+        return name, f"{ns}.{name}"
 
     done = run_concurrently(lambda: load_one(STATE_DATASET, STATE_KEYS),
                             lambda: load_one(COUNTY_DATASET, COUNTY_KEYS))
-    return {name: path for name, path in done if path}
+    return {name: table for name, table in done if table}
 
 
 def post_load_checks(run: BatchRun) -> dict[str, DataFrame]:
-    tables = {n: run.raw(n) for n in run.raw_paths}
+    tables = {n: run.raw(n) for n in run.raw_tables}
     return {
         "row_counts": table_row_counts(tables),
         "schema": describe(run.spark, tables),
@@ -156,18 +163,26 @@ def post_load_checks(run: BatchRun) -> dict[str, DataFrame]:
     }
 
 
-def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
-              state_bound: int | None = None, export: bool = True) -> BatchRun:
+def _write_reports(run: BatchRun, folder: str, reports: dict[str, DataFrame]) -> dict[str, str]:
+    """Small result tables of a run, each under its name."""
+    paths = {name: f"{run.root}/{folder}/{name}_{run.run_id}" for name in reports}
+    run_concurrently(*[lambda n=n, df=df: df.coalesce(1).write.mode("overwrite").parquet(paths[n])
+                       for n, df in reports.items()])
+    return paths
+
+
+def transform(run: BatchRun, state_bound: int | None = None, export: bool = True) -> BatchRun:
     spark, root = run.spark, run.root
-    stg_ns, mart_ns = namespaces
-    for ns in namespaces:
+    raw_ns, stg_ns, mart_ns = run.namespaces
+    for ns in (stg_ns, mart_ns):
         catalog.create_namespace(spark, ns, f"{root}/{ns}.db")
-    stg_state = catalog.replace_view(models.stage_state(run.raw(STATE_DATASET)),
-                                     f"{stg_ns}_stg_census_state")
-    stg_county = catalog.replace_view(models.stage_county(run.raw(COUNTY_DATASET)),
-                                      f"{stg_ns}_stg_census_county")
-    # both marts read the region staging relation: materialise it once
-    stg_state = materialize(stg_state, "stg-state")
+    stg_state = catalog.replace_view(spark, f"{stg_ns}.stg_census_state", models.staging_query(
+        models.STAGE_STATE, f"{raw_ns}.{STATE_DATASET}"))
+    stg_county = catalog.replace_view(spark, f"{stg_ns}.stg_census_county", models.staging_query(
+        models.STAGE_COUNTY, f"{raw_ns}.{COUNTY_DATASET}"))
+    # both marts read the region staging relation: materialise it once, for this step only
+    scratch = Scratch(spark)
+    stg_state = scratch.write(stg_state, "batch-stg-state")
     if state_bound is None:
         state_bound = stg_state.count()
     marts = {  # built inside the threads: the region rank runs jobs as it plans
@@ -177,10 +192,11 @@ def transform(run: BatchRun, namespaces: tuple[str, str] = ("staging", "marts"),
     }
 
     def build(name, make):
-        run.mart_paths[name] = f"{root}/{mart_ns}.db/{name}"
-        catalog.replace_table(make(), f"{mart_ns}.{name}", run.mart_paths[name])
+        catalog.replace_table(make(), f"{mart_ns}.{name}", f"{root}/{mart_ns}.db/{name}")
+        run.mart_tables[name] = f"{mart_ns}.{name}"
 
-    run_concurrently(*[lambda n=n, m=m: build(n, m) for n, m in marts.items()])
+    with scratch:
+        run_concurrently(*[lambda n=n, m=m: build(n, m) for n, m in marts.items()])
     if export:
         orders = {
             "mart_state_broadband_summary": [F.col("broadband_rank"), F.col("state_name")],
@@ -214,12 +230,16 @@ def open_data_stand_in(spark: SparkSession, sf_dir: str, root: str) -> str:
 
 
 def run_batch_job(spark: SparkSession, sf_dir: str, root: str | None = None,
-                  run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str] | None = None,
+                  run_id: str = DEFAULT_RUN_ID, namespaces: tuple[str, str, str] | None = None,
                   export: bool = True, open_data_path: str | None = None) -> BatchRun:
+    """The whole job.  ``namespaces`` are those of raw, staging and marts (default:
+    these names with the run folder's tag, so that runs do not meet)."""
     root = root or fresh_dir(spark, "batch")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
-    namespaces = namespaces or (f"staging_{tag}", f"marts_{tag}")
-    snapshots, manifest = ingest(spark, sf_dir, root, run_id, open_data_path=open_data_path)
-    run = BatchRun(spark, root, run_id, manifest_path=manifest)
-    run.raw_paths = load(spark, root)
-    return transform(run, namespaces, export=export)
+    run = BatchRun(spark, root, run_id, namespaces or (f"raw_{tag}", f"staging_{tag}", f"marts_{tag}"))
+    _, run.manifest_path = ingest(spark, sf_dir, root, run_id, open_data_path=open_data_path)
+    run.raw_tables = load(run)
+    run.check_paths = _write_reports(run, "quality", post_load_checks(run))
+    transform(run, export=export)
+    run.preview_paths = _write_reports(run, "previews", previews(run))
+    return run

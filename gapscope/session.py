@@ -15,7 +15,6 @@ from typing import Any
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -160,41 +159,45 @@ def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
     return results
 
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` from a metadata-only listing."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load(paths).select("length"))
-    total = files.agg(F.sum("length").alias("n")).first().n
-    return int(total or 0)
+def projected_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of what ``df`` reads: its files' bytes, times the share of the columns it selects."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def scale_settings(total_input_bytes: int, total_cores: int,
-                   max_partition_bytes: int = 256 * 1024 * 1024,
-                   min_partition_bytes: int = 1024 * 1024) -> dict[str, str]:
-    """Shuffle / split sizing for an input of ``total_input_bytes``.
+def scale_settings(projected: int, total_cores: int,
+                   max_partition_bytes: int = 2 << 30,
+                   min_partition_bytes: int = 1 << 20) -> dict[str, str]:
+    """Shuffle / split sizing for a job that reads ``projected`` bytes (of the columns it needs).
 
-    Partitions are sized so the widest shuffle (lineitem by order key) runs
-    at least two waves of tasks, each partition between ``min`` and ``max``
-    bytes (256 MiB at cluster scale); AQE then coalesces small partitions
-    and splits skewed ones at runtime.
+    At least two waves of tasks, each partition between ``min`` and ``max``
+    bytes; scan splits are as large as shuffle partitions (up to 1 GiB), so
+    that with growing input neither maps nor reduces, nor the blocks between
+    them, grow faster than bytes / 2 GiB.  At the upper end push-based shuffle
+    (``spark.shuffle.push.enabled``) merges a reducer's blocks before it reads
+    them.  AQE coalesces small partitions and splits skewed ones at runtime.
     """
-    target = total_input_bytes // max(1, 2 * total_cores)
+    target = projected // max(1, 2 * total_cores)
     target = max(min_partition_bytes, min(max_partition_bytes, target))
-    parts = max(2 * total_cores, -(-total_input_bytes // target))
-    size = str(target)
+    parts = max(2 * total_cores, -(-projected // target))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": size,
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": str(min(target, 1 << 30)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
     }
 
 
+# the columns that the widest shuffles of the batch job carry
+SHUFFLED = {"lineitem": ("l_orderkey", "l_quantity", "l_discount"), "orders": ("o_orderkey", "o_custkey"),
+            "customer": ("c_custkey", "c_name", "c_nationkey")}
+
+
 def apply_scale_settings(spark: SparkSession, sf_dir: str, total_cores: int,
-                         tables: tuple[str, ...] = ("lineitem", "orders", "customer")) -> dict[str, str]:
-    """Size the session for the tables under ``sf_dir`` (runtime SQL confs only)."""
-    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
-    conf = scale_settings(input_bytes(spark, paths), total_cores)
+                         tables: dict[str, tuple[str, ...]] = SHUFFLED) -> dict[str, str]:
+    """Size the session for the given columns of the tables under ``sf_dir`` (runtime SQL confs only)."""
+    projected = sum(projected_bytes(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").select(*columns))
+                    for t, columns in tables.items())
+    conf = scale_settings(projected, total_cores)
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf

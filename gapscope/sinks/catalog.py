@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import delete_path
+
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (optionally placed in the shared folder)."""
@@ -12,19 +16,37 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def replace_table(df: DataFrame, table: str, path: str) -> DataFrame:
-    """``CREATE OR REPLACE TABLE .. AS SELECT``: overwrite an external parquet table.
+    """``CREATE OR REPLACE TABLE .. AS SELECT`` of an external parquet table.
 
-    The frame is written before the catalog entry is swapped, so a reader
-    never sees a half-replaced table through the catalog.
+    Every version is written to a new folder under ``path`` before the catalog
+    is touched: if that fails, the table still has its old rows.  A table of the
+    same schema is then pointed at the new folder in one step; one of another
+    schema is dropped and created.  The old version's folder goes last.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
+    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(version)
+    except Exception:
+        delete_path(spark, version)
+        raise
+    old = None
+    if spark.catalog.tableExists(table):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        old = rows[0].data_type if rows else None
+    new = spark.read.parquet(version).schema
+    if old and spark.table(table).schema == new:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=version, source="parquet")
+    if old and "/v-" in old:
+        delete_path(spark, old)
     return spark.table(table)
 
 
-def replace_view(df: DataFrame, name: str) -> DataFrame:
-    """``CREATE OR REPLACE VIEW``: a named, lazily evaluated relation."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+def replace_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """``CREATE OR REPLACE VIEW name AS query``: a lazy relation in its namespace, which other sessions see."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..sources.households import COUNT_COLUMNS
 from ..sources.landing import CENSUS_VARIABLES
+from .catalog import replace_table
 
 PIPELINE_VERSION = "1.0.0"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -33,11 +34,19 @@ def snapshot_path(directory: str, name: str, run_id: str) -> str:
     return f"{directory.rstrip('/')}/{name}_{run_id}.csv"
 
 
+# cells are written as they are: blanks at their ends stay
+CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False, "timestampFormat": TS_FORMAT,
+             "timestampNTZFormat": TS_FORMAT}
+# a cell may hold newlines, so a file is read by one task: bound its rows
+ROWS_PER_FILE = 500_000
+
+
 def land_csv(df: DataFrame, directory: str, name: str, run_id: str) -> str:
     """Immutable timestamped snapshot ``<name>_<run>.csv`` (refuses to overwrite)."""
     path = snapshot_path(directory, name, run_id)
-    (df.write.mode("errorifexists").option("header", True).option("escape", '"')
-     .option("timestampFormat", TS_FORMAT).option("timestampNTZFormat", TS_FORMAT).csv(path))
+    (df.write.mode("errorifexists").options(**CSV_WRITE)
+     .option("maxRecordsPerFile", ROWS_PER_FILE).csv(path))
     return path
 
 
@@ -109,10 +118,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
-def load_full_refresh(df: DataFrame, path: str, loaded_at: str) -> DataFrame:
-    """DROP + CREATE AS SELECT equivalent: stamp ``loaded_at``, overwrite."""
-    df.withColumn("loaded_at", F.lit(loaded_at)).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def load_full_refresh(df: DataFrame, table: str, path: str, loaded_at: str) -> DataFrame:
+    """DROP + CREATE AS SELECT equivalent: stamp ``loaded_at``, replace the catalog table."""
+    return replace_table(df.withColumn("loaded_at", F.lit(loaded_at)), table, path)
 
 
 def export_csv(df: DataFrame, path: str, order: list[Column],
@@ -122,5 +130,5 @@ def export_csv(df: DataFrame, path: str, order: list[Column],
     out = df.orderBy(*order)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(**CSV_WRITE).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
     return path

@@ -1,22 +1,21 @@
 """Readers for landed inputs.
 
 * ``read_api_responses`` — census-style responses: a JSON array of arrays of
-  strings whose first row is the header.  Each document is one row of a
-  text scan (one per line, or one per file with ``whole_files=True``), so
+  strings whose first row is the header.  A document is a whole file, however
+  it is wrapped into lines (or one line each with ``whole_files=False``), so
   many responses parse in parallel; a document is bounded by what one API
-  call returns.  Header codes are renamed, numeric cells coerced leniently,
-  constants, run stamp and the penetration share added.
+  call returns.  A document that does not parse, or has no header, fails the
+  read with the file's name.  Header codes are renamed, numeric cells coerced
+  leniently, constants, run stamp and the penetration share added.
 * ``read_open_csv`` — an optional CSV with whatever columns it has (all
   text, no inference pass), plus source and run stamp; absent → ``None``.
-* ``latest_snapshot`` — lexicographically greatest ``<prefix>_*.csv`` by
-  *name*, from a metadata listing only; nothing is read to decide.
-* ``read_landed_csv`` — header CSV with an explicit schema.
+* ``latest_snapshot`` — lexicographically greatest complete ``<prefix>_*.csv``
+  by *name*, from a one-level listing; nothing is read to decide.
+* ``read_landed_csv`` — header CSV, columns found by name and cast.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,31 +45,40 @@ def landed_columns(geo_keys: list[str]) -> list[str]:
 
 
 def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: list[str],
-                       ingested_at: str, whole_files: bool = False,
+                       ingested_at: str, whole_files: bool = True,
                        variables: dict[str, str] = CENSUS_VARIABLES,
                        data_source: str = DATA_SOURCE) -> DataFrame:
-    """Parse response documents into the landed relation for ``level``."""
-    text = spark.read.text(path, wholetext=whole_files)
-    docs = text.select(F.from_json("value", _DOC).alias("doc"))
+    """Parse response documents into the landed relation for ``level``.
+
+    Short rows are filled up with NULL, cells beyond the header are dropped, and
+    columns that the header lacks are NULL.  With ``whole_files=False`` every
+    line is a document (blank lines are none).
+    """
+    if whole_files:
+        _refuse_empty_files(spark, path)   # a text scan passes over them
+    text = spark.read.text(path, wholetext=whole_files).select("value", F.col("_metadata.file_path").alias("file"))
+    if not whole_files:
+        text = text.where(F.trim("value") != "")
+    doc = F.from_json("value", _DOC)
+    docs = text.select(doc.alias("doc"), "file")
+    header = F.try_element_at("doc", F.lit(1))
+    broken = F.raise_error(F.concat(F.lit("not a response document with a header row: "), "file"))
     # Row 0 is the header; every later row becomes one record keyed by it.
     # Header and body are split *before* the explode so each output row
     # carries only the small header, never the whole parsed document.
-    parts = docs.select(F.try_element_at("doc", F.lit(1)).alias("hdr"),
-                        F.expr("slice(doc, 2, greatest(size(doc) - 1, 0))").alias("body"))
+    body = F.when(F.size(header) > 0, F.slice("doc", F.lit(2), F.size("doc")))
+    parts = docs.select(header.alias("hdr"), body.otherwise(broken.cast(_DOC)).alias("body"))
     # explode_outer + a filter on the generated row: a plain explode makes the
     # optimizer add a size(body) > 0 filter that parses each document again
     rows = (parts.select("hdr", F.explode_outer("body").alias("row"))
             .filter(F.col("row").isNotNull()))
-    # zip pads a short row with NULL cells; cells beyond the header are dropped
-    cell = F.map_from_entries(F.filter(F.arrays_zip("hdr", "row"),
-                                       lambda e: e["hdr"].isNotNull()))
     by_name = {v: k for k, v in variables.items()}
 
     def field(name: str):
-        code = by_name.get(name, name)
-        return F.try_element_at(F.col("_cells"), F.lit(code))
+        at = F.array_position("hdr", F.lit(by_name.get(name, name)))
+        return F.get("row", (at - 1).cast("int"))
 
-    typed = rows.select(cell.alias("_cells")).select(
+    typed = rows.select(
         *[coerce_double(field(c)).alias(c) for c in COUNT_COLUMNS],
         field("geography_name").alias("geography_name"),
         *[field(k).alias(k) for k in geo_keys],
@@ -84,13 +92,24 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
     )
 
 
+def _refuse_empty_files(spark: SparkSession, path: str) -> None:
+    """Fail if a response file has no bytes at all (from a listing; nothing is read)."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(pattern) or []:
+        for status in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            name = status.getPath().getName()
+            if status.isFile() and status.getLen() == 0 and not name.startswith(("_", ".")):
+                raise ValueError(f"not a response document with a header row: {status.getPath()}")
+
+
 def read_open_csv(spark: SparkSession, path: str, ingested_at: str,
                   data_source: str = OPEN_DATA_SOURCE,
-                  multiline: bool = False) -> DataFrame | None:
+                  multiline: bool = True) -> DataFrame | None:
     """Optional open-data CSV: header row, any columns kept as text; absent → None.
 
-    ``multiline`` allows quoted newlines inside cells but makes each file a
-    single task (it can no longer be split), so it is opt-in.
+    ``multiline`` allows quoted newlines inside cells and makes each file a
+    single task; turn it off for huge files that are known to have none.
     """
     try:
         df = (spark.read.option("header", True).option("multiLine", multiline)
@@ -104,28 +123,41 @@ def read_open_csv(spark: SparkSession, path: str, ingested_at: str,
 
 
 def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | None:
-    """Path of the newest ``<prefix>_<run>.csv`` by name (run ids sort by time).
+    """Path of the newest ``<prefix>_<run>.csv`` in ``directory`` by name (run ids sort by time).
 
-    The listing is a ``binaryFile`` scan that selects only ``path``, so file
-    contents are never read; the max over names is a one-row aggregate.
+    Only names are listed, one level deep.  A folder counts only with its
+    ``_SUCCESS`` marker: a run that crashed while writing is not a snapshot.
     """
-    base = directory.rstrip("/")
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(base).select("path"))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    pattern = rf"^(.*/{re.escape(prefix)}_[^/]*\.csv)(/[^/]*)?$"
-    snap = F.regexp_extract("path", pattern, 1)
-    row = (files.select(snap.alias("snap")).filter(F.col("snap") != "")
-           .agg(F.max_by("snap", F.substring_index("snap", "/", -1)).alias("latest"))
-           .first())
-    return row.latest if row else None
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    base = path_of(directory)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return None
+    best = None
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if not (name.startswith(f"{prefix}_") and name.endswith(".csv")) or (best and name <= best[0]):
+            continue
+        if status.isFile() or fs.exists(path_of(status.getPath(), "_SUCCESS")):
+            best = name, status.getPath().toString()
+    return best[1] if best else None
 
 
 def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header CSV with an explicit schema (quoted commas in names are fine)."""
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("positiveInf", "inf").option("negativeInf", "-inf").csv(path))
+    """Header CSV with the columns of ``schema``, found by their names in the header and cast.
+
+    Columns may come in any order and further ones are left out; a column that
+    the header lacks, a file whose header differs from the first one's, and a
+    cell that cannot be cast are errors.  Cells may hold quotes, commas, blanks
+    and newlines: parallelism is by file, and ``land_csv`` bounds the rows of each.
+    """
+    wanted = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    # a cell of nothing is null, one of two quotes is the empty text: no text may be read as null
+    options = {"header": True, "escape": '"', "multiLine": True, "nullValue": "\u0000"}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in wanted.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in its header")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    rows = spark.read.options(**options, enforceSchema=False).schema(text).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields])

@@ -13,7 +13,7 @@ from gapscope.sinks.landing import read_manifest
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return P.run_batch_job(spark, SF_SMALL, namespaces=("stg_t", "marts_t"))
+    return P.run_batch_job(spark, SF_SMALL, namespaces=("raw_t", "stg_t", "marts_t"))
 
 
 def test_optional_open_data_is_landed_and_recorded(spark):
@@ -46,6 +46,9 @@ def test_catalog_tables(spark, run):
     assert spark.catalog.tableExists("marts_t.mart_underserved_counties")
     assert spark.table("marts_t.mart_state_broadband_summary").count() == 24
     assert spark.table("marts_t.mart_underserved_counties").count() == 29
+    assert spark.sql("SELECT * FROM raw_t.census_state").count() == 24
+    assert spark.newSession().table("stg_t.stg_census_county").count() == 147
+    assert {t.name for t in spark.catalog.listTables("stg_t") if not t.isTemporary} == {"stg_census_state", "stg_census_county"}
 
 
 def _local(path):
@@ -96,16 +99,43 @@ def test_scale_settings_grow_with_input():
     small = scale_settings(10 * 2**20, total_cores=8)
     big = scale_settings(100 * 2**40, total_cores=8000)
     assert small["spark.sql.shuffle.partitions"] == "16"          # two waves of 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
-    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 51200       # 100 TiB / 2 GiB
+    maps = 100 * 2**40 // int(big["spark.sql.files.maxPartitionBytes"])
+    assert maps * int(big["spark.sql.shuffle.partitions"]) < 6e9
     assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(2**20)
 
 
-def test_input_bytes_lists_metadata(spark):
-    from gapscope.session import input_bytes
-    n = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet", f"{SF_SMALL}/orders.parquet"])
-    assert n == (os.path.getsize(f"{SF_SMALL}/lineitem.parquet")
-                 + os.path.getsize(f"{SF_SMALL}/orders.parquet"))
+def test_only_the_columns_that_move_are_counted(spark):
+    from gapscope.session import projected_bytes
+    whole = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    size = os.path.getsize(f"{SF_SMALL}/lineitem.parquet")
+    assert 0 < projected_bytes(whole.select("l_orderkey", "l_quantity", "l_discount")) < 0.5 * size
+
+
+def test_reports_are_written_by_the_job(spark, run):
+    read = lambda paths, name: spark.read.parquet(paths[name])
+    assert read(run.check_paths, "checks").count() == 14
+    assert {r.table_name: r.row_count for r in read(run.check_paths, "row_counts").collect()} == {
+        "census_state": 24, "census_county": 150}
+    assert read(run.check_paths, "schema").count() == 27
+    assert read(run.preview_paths, "states").count() == 10 and read(run.preview_paths, "severity").count() == 4
+
+
+def test_a_broken_check_leaves_the_others(spark, run):
+    from gapscope.operators.quality import check_suite
+    rows = check_suite(run.raw("census_state"), run.raw("census_county").drop("households_no_internet")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.check, []).append(r)
+    assert len(by) == 6
+    broken = by["Counties with zero internet access"]
+    assert len(broken) == 1 and broken[0].value is None and broken[0].item.startswith("error: ")
+    assert by["County count"][0].value == 150 and len(by["Top 5 states by broadband penetration"]) == 5
+
+
+def test_no_scratch_is_left(spark, run):
+    folder = _local(run.root).rsplit("/", 1)[0]
+    assert not [f for f in os.listdir(folder) if f.startswith("batch-stg-state")]
 
 
 def test_region_export_is_one_sorted_file(spark, run):

@@ -1,21 +1,58 @@
-"""Catalog steps: idempotent namespaces, full-refresh tables, replaceable views."""
+"""Catalog steps: idempotent namespaces, atomically replaced tables, views in their namespace."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
 
 from gapscope.session import fresh_dir
 from gapscope.sinks import catalog
 
 
-def test_replace_table_is_a_full_refresh(spark):
+@pytest.fixture
+def table(spark):
     root = fresh_dir(spark, "t-cat")
-    catalog.create_namespace(spark, "cat_t", f"{root}/cat_t.db")
-    catalog.create_namespace(spark, "cat_t", f"{root}/cat_t.db")      # no error the second time
-    path = f"{root}/cat_t.db/tbl"
-    catalog.replace_table(spark.range(10), "cat_t.tbl", path)
-    t = catalog.replace_table(spark.range(100, 103), "cat_t.tbl", path)
+    name = f"cat_{root.rsplit('-', 1)[-1]}"
+    catalog.create_namespace(spark, name, f"{root}/{name}.db")
+    catalog.create_namespace(spark, name, f"{root}/{name}.db")      # no error the second time
+    return f"{name}.tbl", f"{root}/{name}.db/tbl"
+
+
+def versions(path):
+    return os.listdir(path.removeprefix("file:"))
+
+
+def test_replace_table_is_a_full_refresh(spark, table):
+    name, path = table
+    catalog.replace_table(spark.range(10), name, path)
+    t = catalog.replace_table(spark.range(100, 103), name, path)
     assert sorted(r.id for r in t.collect()) == [100, 101, 102]
-    assert spark.table("cat_t.tbl").count() == 3
+    assert spark.table(name).count() == 3 and len(versions(path)) == 1    # the old version is gone
+    other = catalog.replace_table(spark.range(2).withColumn("more", F.lit("x")), name, path)
+    assert other.columns == ["id", "more"] and spark.table(name).count() == 2 and len(versions(path)) == 1
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, table):
+    name, path = table
+    catalog.replace_table(spark.range(5), name, path)
+    broken = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        catalog.replace_table(broken, name, path)
+    assert spark.table(name).count() == 5 and len(versions(path)) == 1
+
+
+def test_a_table_may_be_made_from_itself(spark, table):
+    name, path = table
+    catalog.replace_table(spark.range(5), name, path)
+    assert catalog.replace_table(spark.table(name).where("id > 2"), name, path).count() == 2
 
 
-def test_replace_view(spark):
-    catalog.replace_view(spark.range(5), "cat_view_t")
-    v = catalog.replace_view(spark.range(2), "cat_view_t")
-    assert v.count() == 2 and spark.sql("SELECT count(*) AS n FROM cat_view_t").first().n == 2
+def test_views_live_in_their_namespace(spark, table):
+    name, path = table
+    catalog.replace_table(spark.range(5), name, path)
+    view = name.replace("tbl", "seen")
+    catalog.replace_view(spark, view, f"SELECT id FROM {name} WHERE id > 3")
+    assert catalog.replace_view(spark, view, f"SELECT id FROM {name} WHERE id > 2").count() == 2
+    assert spark.newSession().table(view).count() == 2
+    catalog.replace_table(spark.range(100), name, path)               # a view is lazy
+    assert spark.table(view).count() == 97

@@ -30,9 +30,25 @@ def test_int_cast_half_even(spark):
 
 
 def test_lenient_coercion(spark):
-    df = _one_col(spark, ["1", "x", None, "1e3", " 7 "], "string")
+    df = _one_col(spark, ["1", "x", None, "1e3", " 7 ", "1d", "2f", "0x1p3", "NaN", "", "+.5", "1.", "-inf", "1_0", "."], "string")
     got = [r.v for r in df.select(E.coerce_double("x").alias("v")).collect()]
-    assert got == [1.0, None, None, 1000.0, 7.0]
+    assert got == [1.0, None, None, 1000.0, 7.0, None, None, None, None, None, 0.5, 1.0, float("-inf"), None, None]
+
+
+def test_mean_with_an_infinite_share(spark):
+    df = _one_col(spark, [float("inf"), 1.0, None])
+    assert df.agg(E.avg_rounded("x").alias("m")).first().m == float("inf")
+    assert _one_col(spark, [1.005, 1.005]).agg(E.avg_rounded("x").alias("m")).first().m == 1.0
+
+
+def test_region_totals_beyond_32_bits(spark):
+    counts = {c: 3e9 for c in M.COUNT_COLUMNS}
+    row = spark.range(1).select(*[F.lit(v).alias(c) for c, v in counts.items()], F.lit("A").alias("geography_name"),
+                                F.lit("1").alias("state"), F.lit(90.0).alias("broadband_penetration_pct"),
+                                *[F.lit("s").alias(c) for c in ("data_source", "ingested_at", "loaded_at")])
+    staged = M.stage_state(row)
+    assert staged.schema["total_households"].dataType.simpleString() == "bigint"
+    assert M.mart_state(staged, 1).first().households_no_internet == 3_000_000_000
 
 
 def test_tier_and_severity_bounds(spark):

@@ -2,11 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from gapscope.session import fresh_dir
+from gapscope.session import delete_path, fresh_dir
 from gapscope.sinks.landing import land_api_responses, land_csv
-from gapscope.sources.landing import latest_snapshot, read_api_responses, read_open_csv
+from gapscope.sources.landing import latest_snapshot, read_api_responses, read_landed_csv, read_open_csv
 
 
 def test_latest_snapshot_by_name_not_time(spark):
@@ -26,7 +27,7 @@ def test_whole_file_response_document(spark, tmp_path):
            ["0", "0", "0", "0", "0", "0", "Gamma", "03"]]
     p = tmp_path / "state_response.json"
     p.write_text(json.dumps(doc, indent=1))  # multi-line, as an API returns it
-    out = read_api_responses(spark, str(p), "state", ["state"], "T0", whole_files=True)
+    out = read_api_responses(spark, str(p), "state", ["state"], "T0")
     rows = {r.state: r for r in out.collect()}
     assert rows["01"].broadband_penetration_pct == 80.0 and rows["01"].total_households == 100.0
     assert rows["02"].total_households is None and rows["02"].broadband_penetration_pct is None
@@ -44,7 +45,7 @@ def test_documents_split_across_pages(spark):
         (F.col("id") % 3).cast("string").alias("state"), F.col("id").cast("string").alias("county"))
     path = land_api_responses(df, fresh_dir(spark, "t-docs"), ["state", "county"], rows_per_doc=100)
     assert spark.read.text(path).count() == 10
-    back = read_api_responses(spark, path, "county", ["state", "county"], "T0")
+    back = read_api_responses(spark, path, "county", ["state", "county"], "T0", whole_files=False)
     assert back.count() == 1000 and back.select("county").distinct().count() == 1000
 
 
@@ -74,3 +75,60 @@ def test_explode_carries_only_the_header(spark, tmp_path):
     # output of the generator: the header and the exploded row, not the document
     assert "[hdr" in generate and "doc" not in generate.split("],")[0].split("), ")[-1]
     assert plan.count("from_json") == 1                         # each document parsed once
+
+
+@pytest.mark.parametrize("text", ['[["B28002_001E", "state"], ["1", "01"', "null", "[]", "[[]]", "", "{}", "<html>busy</html>"])
+def test_a_broken_document_fails_the_read(spark, tmp_path, text):
+    (tmp_path / "good.json").write_text(json.dumps([["B28002_001E", "state"], ["1", "01"]]))
+    (tmp_path / "broken.json").write_text(text)
+    with pytest.raises(Exception, match="not a response document"):
+        read_api_responses(spark, str(tmp_path), "state", ["state"], "T0").collect()
+
+
+def test_several_files_with_a_newline_after_each_array(spark, tmp_path):
+    for i in range(3):
+        rows = [["state", "B28002_001E"], [f"{i}0", "5"], [f"{i}1", "6"]]
+        (tmp_path / f"{i}.json").write_text("[" + ",\n".join(map(json.dumps, rows)) + "]\n")
+    out = read_api_responses(spark, str(tmp_path), "state", ["state"], "T0").collect()
+    assert sorted(r.state for r in out) == ["00", "01", "10", "11", "20", "21"]
+    assert sorted(r.total_households for r in out) == [5.0] * 3 + [6.0] * 3
+
+
+def test_a_document_of_only_a_header_has_no_rows(spark, tmp_path):
+    (tmp_path / "empty.json").write_text('[["state", "B28002_001E"]]')
+    assert read_api_responses(spark, str(tmp_path), "state", ["state"], "T0").count() == 0
+
+
+def test_snapshots_of_sub_folders_and_unfinished_runs_do_not_count(spark):
+    d = fresh_dir(spark, "t-snap")
+    land_csv(spark.range(3), d, "census_state", "20240301_000000")
+    land_csv(spark.range(3), f"{d}/archive", "census_state", "20990101_000000")
+    delete_path(spark, land_csv(spark.range(3), d, "census_state", "20980101_000000") + "/_SUCCESS")
+    land_csv(spark.range(3), d, "census_state_more", "20970101_000000")
+    assert latest_snapshot(spark, d, "census_county") is None
+    assert latest_snapshot(spark, d + "/nowhere", "census_state") is None
+    delete_path(spark, f"{d}/census_state_more_20970101_000000.csv")
+    assert latest_snapshot(spark, d, "census_state").endswith("census_state_20240301_000000.csv")
+
+
+def test_text_comes_back_as_it_was(spark):
+    cells = ["  pad  ", "a,b", 'say "x"', "two\nlines", "back\\slash", "", None, "\ttab\r\nend ", "'", "#", "null"]
+    df = spark.createDataFrame(list(enumerate(cells)), "id long, t string")
+    path = land_csv(df.repartition(2), fresh_dir(spark, "t-csv"), "x", "0")
+    assert {r.id: r.t for r in read_landed_csv(spark, path, df.schema).collect()} == dict(enumerate(cells))
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a,c\n1.5,7,z\n")
+    assert read_landed_csv(spark, str(tmp_path), "a int, b double").collect() == [(7, 1.5)]
+    with pytest.raises(ValueError, match="no column d"):
+        read_landed_csv(spark, str(tmp_path), "a int, d int")
+    (tmp_path / "y.csv").write_text("a,b,c\n7,1.5,z\n")          # another order in a second file
+    with pytest.raises(Exception, match="CSV header|header"):
+        read_landed_csv(spark, str(tmp_path), "a int, b double").collect()
+
+
+def test_a_cell_that_cannot_be_cast_is_an_error(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a\nseven\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_landed_csv(spark, str(tmp_path), "a int").collect()

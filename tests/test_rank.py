@@ -62,7 +62,7 @@ def test_offsets_across_many_range_partitions(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, k double")
     for ascending in (False, True):
         got = global_rank(df, "k", ascending=ascending, rank_col="r", partitions=7,
-                          broadcast_max_rows=10,   # also exercises the shuffle join-back
+                          broadcast_max_bytes=10,   # also exercises the shuffle join-back
                           single_task_max_keys=0)  # force the range-partitioned path
         ours = [r.r for r in sorted(got.collect(), key=lambda r: r.id)]
         assert ours == brute_rank(vals, ascending)
