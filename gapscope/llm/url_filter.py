@@ -36,6 +36,7 @@ http://spam-links.info/seo-farm  https://www.link-farm.net/backlinks  https://co
 https://seo-spam-network.biz/buy-links  http://farm-spam.example.net/en/2  https://mega-spam.com/list  http://linkspam.org/farm
 https://free-iphone-winner.com/claim  http://make-money-fast.biz/now  https://crypto-doubler.net/invest  http://payday-loans-cheap.com/apply
 https://replica-watches-cheap.net/rolex  http://torrent-crack-keygen.org/warez  https://phishing-login-verify.com/account  http://win-prize-free.info/lottery
+https://www.porn-tube.example.org/en/6  https://xxx-videos.org/hd  https://betting-odds.example.org/en/6  https://ads.example.org/banner
 https://cheap-replica.example.com/en/45  https://warez-crack.example.org/en/70  http://lottery-win.example.net/de/40  https://free-money.example.com/fr/33
 """
 ALLOWED = """
