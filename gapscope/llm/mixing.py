@@ -7,8 +7,9 @@ all of them by that time and stopping at the total budget gives every source
 its share at every moment.
 
 Running sums never put a source, or all rows, into one task: rows are dealt
-into cells of about ``CELL_ROWS`` (a hot source has many), the cells' sums are
-added up in a table of a row per cell, and windows run inside cells only.
+into cells of about ``CELL_ROWS`` rows, or a ``CELLS``-th of all if that is more (a
+hot source has many cells), the cells' sums are added up in a table of a row per
+cell, and windows run inside cells only.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from gapscope.session import materialize
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 CELL_ROWS = 2048
+#: Cells, or bins of time, that all rows are dealt into at most: what a single task adds up.
+CELLS = 1 << 16
 #: Sources up to which their table (some 100 bytes a row) is broadcast; beyond, Spark chooses the join.
 BROADCAST_SOURCES = 50_000
 
@@ -93,6 +96,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     sources = materialize(targets(sources, share, passes), "mix-sources")
     totals = sources.agg(F.sum("source_size").alias("s"), F.sum("n_rows").alias("r"), F.count("*").alias("n")).first()
     budget, n_rows = (totals.s or 0) * share, totals.r or 0
+    cell_rows = max(CELL_ROWS, -(-n_rows // CELLS))
     time = lambda words: F.when(F.col("target") > 0, words / F.col("target")).otherwise(0.0)
 
     def queue(rows: DataFrame) -> DataFrame:
@@ -101,7 +105,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
         joined = rows.join(side, rows["source"].eqNullSafe(side["source"]), "left").select(
             rows["*"], *[side[c] for c in ("source_size", "n_rows", "source_rank", "target")])
         place = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
-        cell = F.floor(place * F.ceil(F.col("n_rows") / CELL_ROWS) / F.lit(1 << 32))
+        cell = F.floor(place * F.ceil(F.col("n_rows") / cell_rows) / F.lit(1 << 32))
         cells = plan.join(side, plan["source"].eqNullSafe(side["source"]), "left").select(
             "source_rank", "size", cell.alias("cell"))
         out = _running(joined.withColumn("cell", cell), cells, ["source_rank"], "cell", keys, "size", "queue_words")
@@ -113,7 +117,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     copy = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("copy")
     copies = narrow.select("*", copy).withColumn(
         "at", time(F.col("queue_words") + F.col("copy") * F.col("source_size")))
-    bins = max(1, n_rows // CELL_ROWS)
+    bins = max(1, n_rows // cell_rows)
     copies = copies.withColumn("bin", F.least(F.floor(F.col("at") * bins), F.lit(4 * bins)))
     so_far = Window.orderBy("bin")
     sums = copies.groupBy("bin").agg(F.sum("size").alias("words")).withColumn("until", F.sum("words").over(so_far))

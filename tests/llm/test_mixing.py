@@ -85,6 +85,8 @@ def test_cells_of_one_row_change_nothing(spark, docs, monkeypatch):
     monkeypatch.setattr(mixing, "CELL_ROWS", 4)
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert sorted(map(str, mixing.mix(docs, carry=["doc_id"]).collect())) == usual
+    monkeypatch.setattr(mixing, "CELLS", 3)
+    assert sorted(map(str, mixing.mix(docs, carry=["doc_id"]).collect())) == usual
 
 
 def test_every_case_and_clashing_columns(tricky):
