@@ -78,9 +78,9 @@ def statistics(text: Column) -> Column:
         by_word.alias("word"), by_line.alias("line"),
         (F.char_length(text) - count(WORD_GAP.rstrip("+"))).alias("word_chars"),
         count(r"[#*$%&|<>]").alias("n_symbols"), count(r"\p{Lu}").alias("n_capitals"), count(r"[!?]").alias("n_shouts"),
-        count(r"[#*$%&|<>]{2,}(?=[\x20\x09-\x0D]|$)").alias("n_symbol_tails"),
-        count(r"(?:^|[\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?=[\x20\x09-\x0D]|$)").alias("n_lone_symbols"),
-        count(r"[.!?](?=[\x20\x09-\x0D]|$)").alias("n_ends"))
+        count(r"[#*$%&|<>]{2,}(?=[\x20\x09-\x0D]|\z)").alias("n_symbol_tails"),
+        count(r"(?:^|[\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?=[\x20\x09-\x0D]|\z)").alias("n_lone_symbols"),
+        count(r"[.!?](?=[\x20\x09-\x0D]|\z)").alias("n_ends"))
 
 
 def with_statistics(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -164,3 +164,53 @@ def judge_quality(df: DataFrame, text: str = "text", carry: list[str] | None = N
     out = counted.withColumns({**{b: F.col(f"{stats}.{b}") for b in BASE}, "base_failed": failed,
                                "quality_posterior": 1 / (1 + F.exp(-odds))}).drop(stats)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality_posterior") >= 0.5))
+
+
+def _vote_sql(rule: str) -> str:
+    measure, good, bad, side = RULES[rule]
+    over, under = measure.split(" / ")
+    ratio = f"{over} / {under.replace('n_words', 'nullif(n_words, 0)').replace('word_chars', 'nullif(word_chars, 0)').replace('n_lines', 'nullif(n_lines, 0)')}"
+    low, high = ("<=", ">=") if side == "from" else (">=", "<=")
+    for_good = f"WHEN {ratio} {low} {good} THEN 1 " if good is not None else ""
+    return f"CASE WHEN {ratio} {high} {bad} THEN -1 {for_good}ELSE 0 END"
+
+
+#: The query's rows in DuckDB: words and windows as rows, estimates by recursion over the patterns' votes.
+ORACLE = f"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+windows AS (SELECT row, i, array_to_string(words[i:i + 4], ' ') AS said
+            FROM (SELECT row, words, unnest(range(1, len(words) - 3)) AS i FROM texts)),
+repeated AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, said) > 1),
+covered AS (SELECT row, count(DISTINCT j) AS n FROM (SELECT row, unnest(range(i, i + 5)) AS j FROM repeated) GROUP BY row),
+lined AS (SELECT row, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM texts),
+counted AS (
+  SELECT row, doc_id, len(words) AS n_words, list_unique(words) AS n_distinct, coalesce(covered.n, 0) AS n_repeat_words,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS word_chars,
+         len(lines) AS n_lines, CAST(len(lines) - list_unique(lines) AS BIGINT) AS n_dup_lines,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(text, '\\p{{Lu}}')) AS n_capitals,
+         len(regexp_extract_all(text, '[!?]')) AS n_shouts,
+         len(list_filter(words, lambda w: regexp_matches(w, '[#*$%&|<>][#*$%&|<>]$'))) AS n_symbol_tails,
+         len(list_filter(words, lambda w: NOT regexp_matches(w, '[\\p{{L}}\\p{{N}}]'))) AS n_lone_symbols,
+         len(list_filter(words, lambda w: regexp_matches(w, '[.!?]$'))) AS n_ends
+  FROM texts JOIN lined USING (row) LEFT JOIN covered USING (row)),
+voted AS (SELECT *, [{", ".join(map(_vote_sql, RULES))}] AS votes FROM counted),
+patterns AS (SELECT votes, count(*) AS n FROM voted GROUP BY votes),
+cast_votes AS (SELECT votes, n, unnest(votes) AS vote, unnest(range(len(votes))) AS rule FROM patterns),
+beliefs AS (
+  SELECT 0 AS round, votes, (1 + len(list_filter(votes, lambda v: v > 0))) / (2 + len(list_filter(votes, lambda v: v <> 0))) AS b FROM patterns
+  UNION ALL
+  SELECT round + 1, c.votes, 1 / (1 + exp(-greatest(-700, least(700, max(prior_odds) + sum(odds)))))
+  FROM (SELECT round, rule, vote,
+               ln((good + {SMOOTHING}) / (sum(good) OVER r + 3 * {SMOOTHING}) / ((bad + {SMOOTHING}) / (sum(bad) OVER r + 3 * {SMOOTHING}))) AS odds,
+               ln((sum(good) OVER r + {SMOOTHING}) / (sum(bad) OVER r + {SMOOTHING})) AS prior_odds
+        FROM (SELECT max(round) AS round, rule, vote, sum(b * n) AS good, sum((1 - b) * n) AS bad
+              FROM beliefs JOIN cast_votes USING (votes) GROUP BY rule, vote)
+        WINDOW r AS (PARTITION BY rule)) o
+  JOIN cast_votes c USING (rule, vote) WHERE round < {ROUNDS} GROUP BY round, c.votes)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       round(b, 6) AS quality_posterior, NOT base_failed AND b >= 0.5 AS kept
+FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM voted)
+JOIN (SELECT votes, b FROM beliefs WHERE round = {ROUNDS}) USING (votes)
+"""

@@ -29,7 +29,8 @@ def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.judge_quality(docs, carry=["doc_id"]).select("doc_id", *quality_rules.ADDED)
+    judged = quality_rules.judge_quality(docs, carry=["doc_id"]).select("doc_id", *quality_rules.ADDED)
+    return judged.withColumn("quality_posterior", F.round("quality_posterior", 6))  # sums of doubles differ by their order
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +86,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op6_topk": topk.ORACLE, "op8_mixing": mixing.ORACLE}
