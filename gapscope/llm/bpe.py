@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapscope.llm.common import importable, without
+from gapscope.llm.common import importable, release, without
 
 #: Fixed value: how text splits before the merges; white space is Unicode's White_Space property.
 PRETOKEN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"""
             r"""|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+""")
 NEVER = np.int64(1) << 40
 #: Distinct words whose encodings a worker keeps (some 200 bytes each).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Bytes up to which failing words are merged in rows of a matrix.
 LONG_WORD = 64
 
@@ -271,8 +271,8 @@ class ByteBpe:
             out += [part] if part in self.special else self.pretoken.findall(part)
         return out
 
-    def encode(self, texts: list[str | None], chunk_chars: int = 2_000_000) -> Iterator[np.ndarray]:
-        """Ids of each text (null: empty), whole texts, some millions of characters at a time."""
+    def encode(self, texts: list[str | None], chunk_chars: int = 500_000) -> Iterator[np.ndarray]:
+        """Ids of each text (null: empty), whole texts, half a million characters at a time."""
         for word, i in self.special.items():
             self.cache[word] = np.array([i], "<i4").tobytes()
         at = 0
@@ -305,23 +305,36 @@ def codec(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _with(df: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
-    """``df`` with column ``name`` made from column ``source`` by ``convert(list array) -> array``."""
+def _with(df: DataFrame, source: str, added: dict[str, T.DataType], convert) -> DataFrame:
+    """``df`` with the ``added`` columns made from column ``source`` by ``convert(array) -> arrays``."""
     importable(df.sparkSession)
-    df = without(df, name) if name.lower() != source.lower() else df
+    df = without(df, *{n.lower() for n in added} - {source.lower()})
     place = next(i for i, c in enumerate(df.columns) if c.lower() == source.lower())
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in added.items()]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([*part.columns, convert(part.column(place))],
-                                                 names=[*part.schema.names, name])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([*part.columns, *convert(part.column(place))], names=[*part.schema.names, *added])
+        release()
 
     return df.mapInArrow(task, schema)
 
 
+def _encoded(path: str, column: pa.Array) -> pa.Array:
+    parts = list(codec(path).encode(column.to_pylist()))
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+
+
+def _decoded(path: str, column: pa.Array) -> pa.Array:
+    c = codec(path)
+    return pa.array([c.decode(np.array([i for i in x if i is not None], np.int64)) if x is not None else ""
+                     for x in _lists(column)], pa.string())
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds column ``ids`` (array<int>): the encoding of the whole text, as the vocabulary's own library gives it.
 
@@ -330,13 +343,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     every other column and every row (repeats too) stays.  ``path`` must exist on
     every executor.
     """
-    def convert(column: pa.Array) -> pa.Array:
-        parts = list(codec(path).encode(column.to_pylist()))
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-
-    return _with(df, text, ids, T.ArrayType(T.IntegerType()), convert)
+    return _with(df, text, {ids: T.ArrayType(T.IntegerType())}, lambda column: [_encoded(path, column)])
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -345,12 +352,16 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     Null or no ids give the empty text, null ids inside the array are left out;
     bytes that are no UTF-8 become U+FFFD.
     """
-    def convert(column: pa.Array) -> pa.Array:
-        c = codec(path)
-        return pa.array([c.decode(np.array([i for i in x if i is not None], np.int64)) if x is not None else ""
-                         for x in _lists(column)], pa.string())
+    return _with(df, ids, {text: T.StringType()}, lambda column: [_decoded(path, column)])
+
+
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one Python task, with one vocabulary in memory."""
+    def both(column: pa.Array) -> list[pa.Array]:
+        found = _encoded(path, column)
+        return [found, _decoded(path, found)]
 
-    return _with(df, ids, text, T.StringType(), convert)
+    return _with(df, text, {ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}, both)
 
 
 def _lists(column: pa.Array) -> Iterator:
@@ -365,8 +376,8 @@ def _lists(column: pa.Array) -> Iterator:
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, by ``encode`` and ``decode``."""
-    coded = decode(encode(df.select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, by ``encode_decode``."""
+    coded = encode_decode(df.select("doc_id", "text"), path)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import free_name, importable, quoted
+from gapscope.llm.common import free_name, importable, quoted, release
 from gapscope.session import Scratch, materialize
 
 WORDS = 5
@@ -44,7 +44,7 @@ BLOCK, MAYBE = 256, 0.62
 #: Nodes up to which their list (some 50 bytes each) is broadcast to pick their texts; beyond, it is a shuffled join.
 BROADCAST_NODES = 400_000
 #: Shingles that are worked on at once, and distinct words whose hashes a worker keeps.
-CHUNK, CACHE_WORDS = 150_000, 500_000
+CHUNK, CACHE_WORDS = 100_000, 250_000
 #: Shingles of nodes that a verifying task keeps.
 KEPT = 2_000_000
 
@@ -146,20 +146,22 @@ def rarity_table(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = np.zeros(DF_BUCKETS + 1, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                h, _ = shingles(text)
-                if len(h):
-                    found[df_bucket(h)] += 1
-                    n += 1
+            for at in range(0, batch.num_rows, 1000):
+                for text in batch.column(0).slice(at, 1000).to_pylist():
+                    h, _ = shingles(text)
+                    if len(h):
+                        found[df_bucket(h)] += 1
+                        n += 1
         found[-1] = n
+        _word_hash.clear()
+        release()
         there = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(found[there])], names=["bucket", "n"])
 
     importable(docs.sparkSession)
-    rows = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # DF_BUCKETS + 1 rows
+    rows = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # DF_BUCKETS + 1 rows
     found = np.zeros(DF_BUCKETS + 1)
-    for r in rows:
-        found[r.bucket] = r.n
+    found[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     n = max(2.0, found[-1])
     return np.clip(np.log(n / np.clip(found[:-1], 1, n)) / np.log(n), 0, 1).astype(np.float32)
 
@@ -186,8 +188,8 @@ def signatures(docs: DataFrame, rarity) -> DataFrame:
     """(node, samples, bands) for rows (node, text); both null for texts without words."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
                 nodes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 once = list(dict(zip(nodes, texts)).items())  # copies within the batch are worked on once
                 n, samples, bands = len(once), [None] * len(once), [None] * len(once)
@@ -196,6 +198,8 @@ def signatures(docs: DataFrame, rarity) -> DataFrame:
                         samples[i], bands[i] = s.tobytes(), b
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in once], pa.binary()), pa.array(samples, pa.binary()),
                                                   pa.array(bands, pa.list_(pa.int64()), size=n)], names=["node", "samples", "bands"])
+        _word_hash.clear()
+        release()
 
     return docs.mapInArrow(task, "node binary, samples binary, bands array<long>")
 
@@ -225,10 +229,14 @@ def verified(pairs: DataFrame, texts: DataFrame, rarity, similar: float) -> Data
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = _Features(rarity)
-        for batch in batches:
-            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
-            good = [similarity(features(x, s), features(y, t)) >= similar for x, y, s, t in zip(a, b, ta, tb)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
+                good = [similarity(features(x, s), features(y, t)) >= similar for x, y, s, t in zip(a, b, ta, tb)]
+                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        _word_hash.clear()
+        release()
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(task, "a binary, b binary")
 
@@ -299,7 +307,7 @@ def block_links(members: DataFrame, rarity, similar: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
         key, group, found = None, [], set()
-        for batch in batches:
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             for bucket, i, j, *rest in zip(*[batch.column(c).to_pylist() for c in range(9)]):
                 if (bucket, i, j) != key:
                     found.update(links(group))
@@ -309,6 +317,8 @@ def block_links(members: DataFrame, rarity, similar: float) -> DataFrame:
                         found = set()
                 group.append(tuple(rest))
         found.update(links(group))
+        _word_hash.clear()
+        release()
         yield batch_of(found)
 
     return dealt.mapInArrow(task, "a binary, b binary").distinct()

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import free_name, held_out, importable, learning_labels, quoted, without
+from gapscope.llm.common import free_name, held_out, importable, learning_labels, quoted, release, without
 
 #: Bounds of the samples that the scorer is fitted on (the corpus may be of any size).
 POSITIVES, UNLABELLED = 3000, 6000
@@ -78,8 +78,8 @@ def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02) -> tuple[
     w, b = np.zeros(x.shape[1]), 0.0
     m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
-        d = gradient(x @ w + b)
-        g = np.append(x.T @ d + ridge * w, d.sum())
+        d = gradient((x @ w.astype(x.dtype)).astype(np.float64) + b)
+        g = np.append(d.astype(x.dtype) @ x + ridge * w, d.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -106,10 +106,11 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Scorer, float]:
     dim = BUCKETS + N_SHAPE
     if not len(positive) or not len(unlabelled):
         return Scorer(np.zeros(dim), 0.0, np.zeros(dim), np.ones(dim)), 0.5
-    both = np.concatenate([positive, unlabelled]).astype(np.float64)
-    mean, scale = both.mean(0), both.std(0) + 1e-3
-    scale[:BUCKETS] = both[:, :BUCKETS].std() + 1e-3  # rare trigrams stay small
-    x = (both - mean) / scale
+    x = np.concatenate([positive, unlabelled], dtype=np.float32)  # standardised in place: the only copy
+    mean, scale = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64) + 1e-3
+    scale[:BUCKETS] = x[:, :BUCKETS].std(dtype=np.float64) + 1e-3  # rare trigrams stay small
+    x -= mean.astype(np.float32)
+    x /= scale.astype(np.float32)
     is_p = np.arange(len(x)) < len(positive)
     n_p, n_u = is_p.sum(), (~is_p).sum()
 
@@ -180,6 +181,7 @@ def score_quality(df: DataFrame, scorer: Scorer, text: str = "text", name: str =
                 x = np.array([features(t) for t in part.iloc[at:at + 1000]]).reshape(-1, BUCKETS + N_SHAPE)
                 out.append(_sigmoid(model.value.margin(x)))
             yield pd.Series(np.concatenate(out) if out else [], dtype="float64")
+        release()
 
     return without(df, *([name] if name != text else [])).withColumn(name, score(F.col(quoted(text))))
 

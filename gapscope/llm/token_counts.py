@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gapscope.llm.bpe import codec
-from gapscope.llm.common import importable, without
+from gapscope.llm.common import importable, release, without
 
 RULES = ("majority", "start")
 ADDED = ("section", "span_start", "span_end", "n_tokens", "n_crossing")
@@ -120,5 +120,6 @@ def attribute_tokens(df: DataFrame, path: str, key: list[str], text: str = "text
                     [*keys_of, pa.array(table[:, 0].astype(np.int32)),
                      *[pa.array(table[:, j], mask=none) for j in (1, 2)], *[pa.array(table[:, j]) for j in (3, 4)]],
                     names=schema.names)
+        release()
 
     return df.mapInArrow(task, schema)

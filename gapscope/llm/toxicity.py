@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import importable, learning_labels, quoted, without
+from gapscope.llm.common import importable, learning_labels, quoted, release, without
 
 #: Bound of the labelled documents that are learned from, per label.
 SAMPLE = 1500
@@ -42,7 +42,7 @@ SHARE = 0.3
 HASHED = 1 << 18
 ROUNDS = 3
 #: Distinct words whose values a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 _SENTENCE = re.compile(r"[.!?\n]+")
 _SIGNS = re.compile(r"[\W_]+")
 
@@ -299,5 +299,6 @@ def score_toxicity(df: DataFrame, machine: Machine, text: str = "text", name: st
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series(model.value.score(part.tolist()), dtype="float64")
+        release()
 
     return without(df, *([name] if name != text else [])).withColumn(name, score(F.col(quoted(text))))

@@ -66,6 +66,7 @@ def test_every_case_and_clashing_columns(tricky, library):
     out = bpe.decode(bpe.encode(tricky, vocabulary()), vocabulary())
     assert sorted(out.columns) == sorted([c for c in tricky.columns if c.lower() not in ("ids", "decoded")] + ["ids", "decoded"])
     rows = out.collect()
+    assert sorted(map(str, rows)) == sorted(map(str, bpe.encode_decode(tricky, vocabulary()).select(*out.columns).collect()))
     assert len(rows) == tricky.count()
     for r in rows:
         assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids
