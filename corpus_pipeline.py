@@ -33,7 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to."""
-    return bpe.decode(bpe.encode(docs, vocabulary()), vocabulary())
+    return bpe.encode_decode(docs, vocabulary())
 
 
 STAGES = [("quality rules", rules), ("quality classifier", classifier), ("near-duplicates", deduplicate),
