@@ -28,13 +28,13 @@ def test_layer_counts(spark):
 def test_every_key_matches_oracle(spark):
     import duckdb
 
-    import __spark_entry__ as E
     from compare import canon
+    from gapscope.plans.registry import SPARK as qs
+    from gapscope.plans.registry import SQL as sqls
     from gapscope.sources.tables import TABLES, table_path
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(SF_SMALL, t)}')")
-    qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) == set(qs)
     failures = []
     for key, fn in qs.items():
