@@ -91,14 +91,14 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
 
     At a high enough threshold all that passes is positive, and the ratio of the
     shares that pass is the prior.  Every threshold's ratio bounds it from above,
-    with an allowance for sampling error; the smallest bound is taken, so that
+    with half an allowance for sampling error; the smallest bound is taken, so that
     small samples rather call a good document good than a bad one bad.
     """
     cuts = np.unique(np.quantile(positive, np.linspace(0.005, 0.95, 190)))
     q_p = np.array([(positive >= c).mean() for c in cuts])
     q_u = np.array([(unlabelled >= c).mean() for c in cuts])
     slack = np.sqrt(np.log(4 / delta) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
-    return float(np.clip(((q_u + slack) / q_p).min(), 0.02, 0.995))
+    return float(np.clip(((q_u + 0.5 * slack) / q_p).min(), 0.02, 0.995))
 
 
 def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Scorer, float]:
