@@ -271,8 +271,8 @@ class ByteBpe:
             out += [part] if part in self.special else self.pretoken.findall(part)
         return out
 
-    def encode(self, texts: list[str | None], chunk_chars: int = 500_000) -> Iterator[np.ndarray]:
-        """Ids of each text (null: empty), whole texts, half a million characters at a time."""
+    def encode(self, texts: list[str | None], chunk_chars: int = 1_000_000) -> Iterator[np.ndarray]:
+        """Ids of each text (null: empty), whole texts, a million characters at a time."""
         for word, i in self.special.items():
             self.cache[word] = np.array([i], "<i4").tobytes()
         at = 0
@@ -331,8 +331,8 @@ def _encoded(path: str, column: pa.Array) -> pa.Array:
 
 def _decoded(path: str, column: pa.Array) -> pa.Array:
     c = codec(path)
-    return pa.array([c.decode(np.array([i for i in x if i is not None], np.int64)) if x is not None else ""
-                     for x in _lists(column)], pa.string())
+    whole = (x if isinstance(x, np.ndarray) else np.array([i for i in x or [] if i is not None], np.int64) for x in _lists(column))
+    return pa.array([c.decode(x) for x in whole], pa.string())
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
