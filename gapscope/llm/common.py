@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 #: Fixed value: a word is a run of characters other than these six white-space characters.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+_SPARING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,20 @@ def learning_labels(labels: DataFrame, column: str, bound: int) -> DataFrame:
     return fold.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
+@contextlib.contextmanager
+def sparing_disk(spark: SparkSession) -> Iterator[None]:
+    """Within, tables are written in zstd, and shuffle files of a query that writes its result go as soon as it is
+    written, not when the driver collects garbage."""
+    before = {key: spark.conf.get(key) for key in _SPARING}
+    try:
+        for key, value in _SPARING.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, if they see that folder.
 

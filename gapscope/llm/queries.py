@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from gapscope.llm import bpe, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
+from gapscope.session import fresh_dir
 
 #: Folder of the vocabulary files; they are read where the tasks run.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -46,11 +48,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", sharding.record_bytes(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
-    dealt = sharding.deal(sharding.external_shuffle(docs, "size"), 40)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                        F.lit(None).cast("int").alias("grown_shard"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = fresh_dir(spark, "shards")
+    sharding.write_shards(docs, path, 40)
+    written = spark.read.schema(StructType([*docs.schema, StructField("slot", LongType()), StructField("shard", IntegerType())])).parquet(path)
+    return written.select("doc_id", sharding.record_bytes(F.col("text")).alias("size"),
+                          F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

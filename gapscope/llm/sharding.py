@@ -9,11 +9,13 @@ are at most one apart, and a shard is a random sample in random order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import quoted, without
-from gapscope.session import materialize
+from gapscope.llm.common import quoted, sparing_disk, without
+from gapscope.session import Scratch, materialize
 
 BUCKET_BYTES = 16 << 20
 #: Tasks of the second pass at most; a task takes its buckets one by one.
@@ -25,13 +27,14 @@ def record_bytes(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long")
 
 
-def external_shuffle(df: DataFrame, size: str, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def external_shuffle(df: DataFrame, size: str, seed: int = 17, bucket_bytes: int = BUCKET_BYTES,
+                     write: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """Rows of ``df`` with column ``position``: a seeded random permutation from 0, the same on every run.
 
     ``size`` names the column with a row's bytes; buckets hold about
     ``bucket_bytes``.  Equal rows are counted together first and told apart by a
     copy number, so they scatter as evenly as different ones.  Columns must be
-    comparable (no maps).
+    comparable (no maps).  ``write`` keeps the scattered records between the passes.
     """
     columns = [quoted(c) for c in df.columns]
     record = df.select(F.struct(*columns).alias("record"), F.col(size).alias("bytes"))
@@ -42,19 +45,24 @@ def external_shuffle(df: DataFrame, size: str, seed: int = 17, bucket_bytes: int
     counted = record.groupBy("record").agg(F.count("*").alias("n"))
     single = counted.select("record", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
     bucket = F.pmod(F.xxhash64(F.lit(seed), "record", "copy"), F.lit(n))
-    scattered = materialize(single.select(bucket.alias("bucket"), "record", "copy"), "shuffle-scattered")
+    scattered = write(single.select(bucket.alias("bucket"), "record", "copy"), "shuffle-scattered")
     counts = scattered.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    # pass 2: a fixed order within buckets and of buckets within tasks, so that the seeded shuffle repeats itself
-    full = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("record", "copy"))).alias("records"))
-    full = full.join(offsets, "bucket").repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int")).sortWithinPartitions("bucket")
+    # pass 2: records move once, their bucket's offset with them; a fixed order within buckets and of buckets within
+    # tasks, so that the seeded shuffle repeats itself
+    task = F.pmod("bucket", F.lit(tasks)).cast("int").alias("task")
+    moved = scattered.select(task, "bucket", F.struct("record", "copy").alias("one")).unionByName(
+        offsets.select(task, "bucket", "offset"), allowMissingColumns=True).repartitionById(tasks, "task")
+    full = moved.groupBy("task", "bucket").agg(F.sort_array(F.collect_list("one")).alias("records"), F.max("offset").alias("offset"))
+    full = full.sortWithinPartitions("bucket")
     dealt = full.select("offset", F.shuffle("records", seed).alias("records"))
     dealt = dealt.select("offset", F.posexplode("records").alias("place", "one"))
     return dealt.select("one.record.*", (F.col("offset") + F.col("place")).alias("position"))
 
 
-def shards(df: DataFrame, n_shards: int, text: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def shards(df: DataFrame, n_shards: int, text: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES,
+           write: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """Adds size, text_crc32, position, shard and slot to every row.
 
     size: UTF-8 bytes of the text (null: none) plus 16; text_crc32: of the text's
@@ -65,7 +73,7 @@ def shards(df: DataFrame, n_shards: int, text: str = "text", seed: int = 17, buc
     """
     body = F.col(quoted(text))
     sized = without(df, *ADDED).withColumns({"size": record_bytes(body), "text_crc32": F.crc32(F.coalesce(body, F.lit("")))})
-    return deal(external_shuffle(sized, "size", seed, bucket_bytes), n_shards)
+    return deal(external_shuffle(sized, "size", seed, bucket_bytes, write), n_shards)
 
 
 def deal(shuffled: DataFrame, n_shards: int) -> DataFrame:
@@ -74,7 +82,14 @@ def deal(shuffled: DataFrame, n_shards: int) -> DataFrame:
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int, **options) -> None:
-    """Writes the rows as ``path/shard=N`` Parquet folders, each in the order of its slots (columns as given, and slot)."""
-    out = shards(df, n_shards, **options).drop("size", "text_crc32", "position")
-    (out.repartition(n_shards, "shard").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").mode("errorifexists").parquet(path))
+    """Writes the rows as ``path/shard=N`` Parquet folders, each in the order of its slots (columns as given, and slot).
+
+    Scattered and dealt records are kept on disk one after the other, not together.
+    """
+    spark = df.sparkSession
+    with Scratch(spark) as scratch, sparing_disk(spark):
+        with Scratch(spark) as first:
+            out = shards(df, n_shards, write=first.write, **options).drop("size", "text_crc32", "position")
+            out = scratch.write(out, "shuffle-dealt")
+        (out.repartitionById(n_shards, "shard").sortWithinPartitions("shard", "slot")
+         .write.partitionBy("shard").mode("errorifexists").parquet(path))

@@ -27,6 +27,24 @@ def test_query(spark, docs):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
 
 
+def test_query_writes_whole_records(spark, docs, monkeypatch):
+    """What the query returns is read from written shards that hold every document whole."""
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path, n, **kw: written.append(path) or write(df, path, n, **kw))
+    rows = op5_sharding(spark, SF).collect()
+    assert len(written) == 1
+    stored = spark.read.parquet(written[0])
+    assert Counter((r.doc_id, r.text) for r in stored.collect()) == Counter((r.doc_id, r.text) for r in docs.collect())
+    assert {(r.doc_id, r.shard, r.slot) for r in stored.collect()} == {(r.doc_id, r.shard, r.slot) for r in rows}
+
+
+def test_records_move_once_in_the_second_pass(spark, docs):
+    plan = sharding.external_shuffle(docs.select("doc_id", "text", F.lit(20).cast("long").alias("size")), "size", bucket_bytes=500)
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line and "Single" not in line for line in shown.splitlines()) <= 2, shown  # the records, the counts of buckets
+
+
 def test_same_rows_again_however_partitioned(spark, docs):
     df = docs.select("doc_id", F.lit(20).cast("long").alias("size"))
     first = {(r.doc_id, r.position) for r in sharding.external_shuffle(df, "size", bucket_bytes=500).collect()}
