@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import WORD, free_name, quoted, without
-from gapscope.session import materialize
+from gapscope.llm.common import WORD, free_name, quoted, sparing_disk, without
+from gapscope.session import Scratch, materialize
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -27,6 +27,8 @@ CELL_ROWS = 2048
 CELLS = 1 << 16
 #: Sources up to which their table (some 100 bytes a row) is broadcast; beyond, Spark chooses the join.
 BROADCAST_SOURCES = 50_000
+#: Stretches of time that a written mixture is sorted in.
+STRETCHES = 4
 
 
 def n_words(text: Column) -> Column:
@@ -136,14 +138,48 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
         f"{row}.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "finish")
 
 
-def mixture(df: DataFrame, **options) -> DataFrame:
-    """The mixed documents themselves: each row as often as it is taken, in order of virtual finish time (globally sorted)."""
-    columns = df.columns
-    out = mix(df, **options)
+def _copies(rows: DataFrame) -> DataFrame:
+    """Rows of ``mix`` as often as they are taken, with the finish time of each copy."""
     copy = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     time = F.col("finish") + (F.col("copy") - 1) * F.col("source_size") / F.col("target")
-    out = out.where("copies > 0").select("*", copy).withColumn("finish", F.when(F.col("target") > 0, time).otherwise(0.0))
-    return out.orderBy("finish", options.get("doc_id", "doc_id")).select(*[quoted(c) for c in columns])
+    return rows.where("copies > 0").select("*", copy).withColumn("finish", F.when(F.col("target") > 0, time).otherwise(0.0))
+
+
+def mixture(df: DataFrame, **options) -> DataFrame:
+    """The mixed documents themselves: each row as often as it is taken, in order of virtual finish time (globally sorted)."""
+    out = _copies(mix(df, **options))
+    return out.orderBy("finish", options.get("doc_id", "doc_id")).select(*[quoted(c) for c in df.columns])
+
+
+def write_mixture(df: DataFrame, path: str, **options) -> None:
+    """Writes ``mixture`` as Parquet folders ``path/stretch=N``, one stretch of time after another.
+
+    Rows are sorted a stretch at a time, so that the sort's files hold a part of the texts only; the rows of
+    all stretches in their order are the mixture.
+    """
+    doc_id = options.get("doc_id", "doc_id")
+    with Scratch(df.sparkSession) as scratch, sparing_disk(df.sparkSession):
+        rows = scratch.write(mix(df, **options).where("copies > 0"), "mix-rows")
+        times = _copies(rows.select("copies", "finish", "source_size", "target"))
+        cuts = times.agg(F.percentile_approx("finish", [k / STRETCHES for k in range(1, STRETCHES)], 1000)).first()[0] or []
+        edges = [None, *sorted(set(cuts)), None]
+        for n, (low, high) in enumerate(zip(edges, edges[1:])):
+            part, time = _copies(rows), F.col("finish")
+            part = part if low is None else part.where(time > low)
+            part = part if high is None else part.where(time <= high)
+            (part.orderBy("finish", doc_id).select(*[quoted(c) for c in df.columns])
+             .write.mode("errorifexists").parquet(f"{path}/stretch={n}"))
+
+
+def taken_words(df: DataFrame, mixed: DataFrame, sources: DataFrame) -> DataFrame:
+    """(doc_id, size, source_size, target, taken): the words of every document of ``df``, and those it has in the mixed
+    documents. Rows alike in doc_id, source and size are one. ``sources`` is ``targets`` over ``df``'s sources."""
+    row = ["doc_id", "source", n_words(F.col("text")).alias("size")]
+    all_rows = df.select(*row, F.lit(0).cast("long").alias("taken"))
+    counted = all_rows.unionByName(mixed.select(*row).withColumn("taken", F.col("size")))
+    counted = counted.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"))
+    return counted.join(sources, counted["source"].eqNullSafe(sources["source"]), "left").select(
+        "doc_id", "size", "source_size", "target", "taken")
 
 
 #: The query's rows in DuckDB: whole windows instead of cells.

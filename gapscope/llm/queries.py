@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from gapscope.llm import bpe, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
-from gapscope.session import fresh_dir
+from gapscope.session import fresh_dir, materialize
 
 #: Folder of the vocabulary files; they are read where the tasks run.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -67,7 +67,11 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+    path = fresh_dir(spark, "mixture")
+    mixing.write_mixture(docs, path)
+    sized = docs.select("source", mixing.n_words(F.col("text")).alias("size")).groupBy("source")
+    sources = materialize(mixing.targets(sized.agg(F.sum("size").alias("source_size"))), "mix-targets")
+    return mixing.taken_words(docs, spark.read.schema(docs.schema).parquet(path), sources)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

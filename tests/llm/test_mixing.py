@@ -54,6 +54,24 @@ def test_query_is_its_sql(spark):
     assert Counter(tuple(r[n] for n in names) for r in rows) == Counter(result.fetchall())
 
 
+def test_query_makes_the_mixed_documents(spark, docs, monkeypatch):
+    """The rows' taken words are those of mixed documents that the query writes: whole, and in global order."""
+    written = []
+    write = mixing.write_mixture
+    monkeypatch.setattr(mixing, "write_mixture", lambda df, path, **kw: written.append(path) or write(df, path, **kw))
+    rows = op8_mixing(spark, SF).collect()
+    assert len(written) == 1
+    texts = {r.doc_id: (r.text, r.source) for r in docs.collect()}
+    seen, mixed = Counter(), []
+    for n in range(mixing.STRETCHES):
+        mixed += spark.read.parquet(f"{written[0]}/stretch={n}").collect()
+    for r in mixed:
+        assert texts[r.doc_id] == (r.text, r.source)
+        seen[r.doc_id] += len(r.text.split()) if r.text else 0
+    assert {r.doc_id: r.taken for r in rows if r.taken} == {i: n for i, n in seen.items() if n}
+    assert [r.doc_id for r in mixed] == [r.doc_id for r in mixing.mixture(docs.select("doc_id", "text", "source")).collect()]
+
+
 def test_shares_and_order(spark):
     """Every source is near its target at every moment, whatever the cells; a source has two thirds of all words."""
     rng = np.random.default_rng(16)
