@@ -7,13 +7,14 @@ scorer minimises the non-negative unbiased risk
 
 where the share of positives among unlabelled documents (the class prior) is
 estimated first: a scorer of positives against unlabelled text is trained on one
-half of each sample, and on the other half the smallest ratio of the two shares
-that pass a threshold, with an allowance for sampling error, bounds the prior.
+half of each sample, and on the other half of the positives and on all other
+documents the smallest ratio of the two shares that pass a threshold, with an
+allowance for sampling error, bounds the prior.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -86,24 +87,53 @@ def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02) -> tuple[
     return w, b
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
-    """Share of positives among unlabelled rows, from held-back margins of both.
+def prior_cuts(positive: np.ndarray) -> np.ndarray:
+    return np.unique(np.quantile(positive, np.linspace(0.005, 0.95, 190)))
+
+
+def prior_bound(positive: np.ndarray, cuts: np.ndarray, passed: np.ndarray, n: int, delta: float = 0.1) -> float:
+    """Share of positives among ``n`` unlabelled rows, of which ``passed`` reach each cut, from held-back margins of positives.
 
     At a high enough threshold all that passes is positive, and the ratio of the
     shares that pass is the prior.  Every threshold's ratio bounds it from above,
     with half an allowance for sampling error; the smallest bound is taken, so that
     small samples rather call a good document good than a bad one bad.
     """
-    cuts = np.unique(np.quantile(positive, np.linspace(0.005, 0.95, 190)))
     q_p = np.array([(positive >= c).mean() for c in cuts])
-    q_u = np.array([(unlabelled >= c).mean() for c in cuts])
-    slack = np.sqrt(np.log(4 / delta) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
-    return float(np.clip(((q_u + 0.5 * slack) / q_p).min(), 0.02, 0.995))
+    slack = np.sqrt(np.log(4 / delta) / 2) * (len(positive) ** -0.5 + n ** -0.5)
+    return float(np.clip(((passed / n + 0.5 * slack) / q_p).min(), 0.02, 0.995))
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
+    """``prior_bound`` from the margins of unlabelled rows."""
+    cuts = prior_cuts(positive)
+    return prior_bound(positive, cuts, reaching(unlabelled, cuts), len(unlabelled), delta)
+
+
+def reaching(margins: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """By cut, how many margins reach it."""
+    return np.array([(margins >= c).sum() for c in cuts])
+
+
+@dataclass
+class Corpus:
+    """Features of sampled unlabelled rows, and what counts all unlabelled rows that reach cuts: by cut, and how many there are."""
+
+    sample: np.ndarray
+    reaching: Callable[[Scorer, np.ndarray], tuple[np.ndarray, int]]
+
+    def __len__(self) -> int:
+        return len(self.sample)
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Scorer, float]:
-    """The scorer of least non-negative risk, and the estimated prior. Without positives or unlabelled rows: all margins are 0."""
+def train(positive: np.ndarray, unlabelled: np.ndarray | Corpus) -> tuple[Scorer, float]:
+    """The scorer of least non-negative risk, and the estimated prior. Without positives or unlabelled rows: all margins are 0.
+
+    The prior of a ``Corpus`` is estimated from all its rows but those that the first scorer is trained on.
+    """
     dim = BUCKETS + N_SHAPE
+    corpus = unlabelled if isinstance(unlabelled, Corpus) else None
+    unlabelled = unlabelled if corpus is None else corpus.sample
     if not len(positive) or not len(unlabelled):
         return Scorer(np.zeros(dim), 0.0, np.zeros(dim), np.ones(dim)), 0.5
     x = np.concatenate([positive, unlabelled], dtype=np.float32)  # standardised in place: the only copy
@@ -120,7 +150,15 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Scorer, float]:
     w, b = fit(x[half], lambda z: weight * (_sigmoid(z) - target), steps=150)
     rest = x[~half] @ w + b
     p_rest, u_rest = rest[is_p[~half]], rest[~is_p[~half]]
-    prior = estimate_prior(p_rest, u_rest) if len(p_rest) and len(u_rest) else 0.5
+    prior = 0.5
+    if len(p_rest) and len(u_rest):
+        cuts = prior_cuts(p_rest)
+        passed, n = reaching(u_rest, cuts), len(u_rest)
+        if corpus is not None:
+            trained = x[half & ~is_p] @ w + b
+            everywhere, rows = corpus.reaching(Scorer(w, b, mean, scale), cuts)
+            passed, n = np.maximum(everywhere - reaching(trained, cuts), 0), max(1, rows - len(trained))
+        prior = prior_bound(p_rest, cuts, passed, n)
 
     def risk_gradient(z: np.ndarray) -> np.ndarray:
         up = _sigmoid(z)  # derivative of the loss log(1 + exp(z)) of calling a row 1 where it counts as 0
@@ -146,11 +184,33 @@ def vectors(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, vector(F.col(quoted(text))))
 
 
+def count_reaching(df: DataFrame, text: str, scorer: Scorer, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+    """By cut (in rising order), how many rows of ``df`` have a margin that reaches it; and how many rows there are."""
+    importable(df.sparkSession)
+    model = df.sparkSession.sparkContext.broadcast((scorer, cuts))
+
+    @F.pandas_udf("int")
+    def level(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            out = []
+            for at in range(0, len(part), 1000):
+                x = np.array([features(t) for t in part.iloc[at:at + 1000]]).reshape(-1, BUCKETS + N_SHAPE)
+                out.append(np.searchsorted(model.value[1], model.value[0].margin(x), side="right"))
+            yield pd.Series(np.concatenate(out) if out else [], dtype="int32")
+        release()
+
+    count = np.zeros(len(cuts) + 1, np.int64)
+    for r in df.select(level(F.col(quoted(text))).alias("level")).groupBy("level").agg(F.count("*").alias("n")).collect():
+        count[r["level"]] = r["n"]
+    return count[::-1].cumsum()[::-1][1:], int(count.sum())
+
+
 def learn(docs: DataFrame, labels: DataFrame, column: str = "quality", text: str = "text", doc_id: str = "doc_id",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[Scorer, float]:
     """Fits on at most ``positives`` rows labelled 1 and ``unlabelled`` documents, none of the held-out fold.
 
-    Both samples are the rows of smallest hash of their id.
+    Both samples are the rows of smallest hash of their id.  The class prior is
+    estimated from all documents outside that fold.
     """
     wanted = learning_labels(labels.where(F.col(column) == 1), column, positives).select(
         F.col("doc_id").alias("_id"), F.lit(True).alias("_trusted"))
@@ -161,7 +221,9 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "quality", text: str
     found = vectors(rows, "_text").select("_id", "_trusted", "_text").collect()
     found.sort(key=lambda r: (r["_id"], r["_text"]))
     matrix = lambda trusted: np.array([np.frombuffer(r["_text"], np.float32) for r in found if r["_trusted"] == trusted])
-    return train(matrix(True), matrix(False))
+    learned_from = docs.select(F.col(quoted(doc_id)).alias("_id"), F.col(quoted(text)).alias("_text")).where(
+        F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+    return train(matrix(True), Corpus(matrix(False), lambda scorer, cuts: count_reaching(learned_from, "_text", scorer, cuts)))
 
 
 def score_quality(df: DataFrame, scorer: Scorer, text: str = "text", name: str = "score") -> DataFrame:

@@ -25,6 +25,27 @@ def test_prior_of_a_known_mixture():
         assert share - 0.05 < quality_pu.estimate_prior(positive, unlabelled) < share + 0.12
 
 
+def test_prior_is_of_all_documents(docs, labels, monkeypatch):
+    """Beyond the sample, every document outside the held-out fold counts for the prior, but those trained on."""
+    seen = []
+    bound = quality_pu.prior_bound
+    monkeypatch.setattr(quality_pu, "prior_bound", lambda p, cuts, passed, n: seen.append((cuts, passed, n)) or bound(p, cuts, passed, n))
+    quality_pu.learn(docs, labels, unlabelled=20)
+    free = docs.where(F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)).count()
+    (cuts, passed, n), = seen
+    assert n == free - 10 and len(cuts) == len(passed) and (np.diff(passed) <= 0).all() and 20 < passed[0] <= n
+
+
+def test_counts_are_those_of_the_margins(docs):
+    rng = np.random.default_rng(8)
+    dim = quality_pu.BUCKETS + quality_pu.N_SHAPE
+    scorer = quality_pu.Scorer(rng.normal(0, 1, dim), 0.1, np.zeros(dim), np.ones(dim))
+    margins = scorer.margin(np.array([quality_pu.features(r.text) for r in docs.select("text").collect()]))
+    cuts = np.quantile(margins, [0.05, 0.33, 0.5, 0.9]) + 1e-7
+    passed, n = quality_pu.count_reaching(docs, "text", scorer, cuts)
+    assert n == len(margins) and passed.tolist() == quality_pu.reaching(margins, cuts).tolist()
+
+
 def test_risk_is_learned_without_negatives():
     rng = np.random.default_rng(7)
     dim = quality_pu.BUCKETS + quality_pu.N_SHAPE
