@@ -48,16 +48,16 @@ _SIGNS = re.compile(r"[\W_]+")
 
 
 def spelled(text: str) -> list[str]:
-    """Words spelled out as three or more single characters with one blank between, in lower case."""
+    """Words spelled out as three or more single characters with nothing but blanks between, in lower case."""
     if len(text) < 5:
         return []
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     blank = np.concatenate([[True], (code == 32) | ((code >= 9) & (code <= 13)), [True]])
-    alone = blank[:-2] & ~blank[1:-1] & blank[2:]
-    if not (alone[:-4] & alone[2:-2] & alone[4:]).any():
+    at = np.flatnonzero(blank[:-2] & ~blank[1:-1] & blank[2:])
+    if len(at) < 3:
         return []
-    at = np.flatnonzero(alone)
-    runs = np.split(at, np.flatnonzero(np.diff(at) != 2) + 1)
+    signs = np.cumsum(~blank[1:-1])[at]  # one apart: no other character in between
+    runs = np.split(at, np.flatnonzero(np.diff(signs) != 1) + 1)
     return ["".join(text[i] for i in run).lower() for run in runs if len(run) > 2]
 
 

@@ -96,3 +96,9 @@ def test_every_case_and_clashing_columns(tricky, labels):
     assert len(rows) == tricky.count() and all(0 <= r.score <= 1 for r in rows)
     assert len({r.score for r in rows if not (r.text or "").strip(" \t\n\r\x0b\x0c")}) == 1
     assert toxicity.score_toxicity(tricky.limit(0), toxicity.learn(tricky.limit(0), labels.limit(0))).count() == 0
+
+
+def test_spelled_with_any_run_of_blanks():
+    assert toxicity.spelled("you i  d \t i   o t here") == ["idiot"]
+    assert toxicity.spelled("a b c word d  e f g") == ["abc", "defg"]
+    assert toxicity.spelled("a bc d e") == [] and toxicity.spelled("a  b") == []
