@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from gapscope.llm import bpe, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
+from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
 from gapscope.session import fresh_dir, materialize
 
@@ -86,6 +86,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", chat_format.PLANTED), (-1, 1, "assistant", chat_format.PLANTED)], turns.schema)
+    return chat_format.read_back(chat_format.format_chats(turns.unionByName(planted)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_pu": op1_quality_pu,
     "op2_quality_rules": op2_quality_rules,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
     "op12_filter_audit": op12_filter_audit,
+    "op13_chat_format": op13_chat_format,
 }
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op6_topk": topk.ORACLE, "op8_mixing": mixing.ORACLE,
-                          "op12_filter_audit": filter_audit.ORACLE}
+                          "op12_filter_audit": filter_audit.ORACLE, "op13_chat_format": chat_format.ORACLE}
