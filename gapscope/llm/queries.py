@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, token_counts, topk, toxicity, url_filter
+from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, source_audit, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
 from gapscope.session import fresh_dir, materialize
 
@@ -82,6 +82,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute_tokens(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"])
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
@@ -103,8 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
+    "op11_source_audit": op11_source_audit,
     "op12_filter_audit": op12_filter_audit,
     "op13_chat_format": op13_chat_format,
 }
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op6_topk": topk.ORACLE, "op8_mixing": mixing.ORACLE,
-                          "op12_filter_audit": filter_audit.ORACLE, "op13_chat_format": chat_format.ORACLE}
+                          "op11_source_audit": source_audit.ORACLE, "op12_filter_audit": filter_audit.ORACLE, "op13_chat_format": chat_format.ORACLE}
