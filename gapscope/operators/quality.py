@@ -1,18 +1,21 @@
 """Data-quality operators: per-column null profile and the post-load check suite.
 
-Both are single distributed aggregations; nothing is collected.
+Both are single distributed aggregations; nothing but counts is collected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import files
 from ..functions.expr import avg_rounded, round_half_even
+from ..session import run_concurrently
 
 
 def _is_missing(df: DataFrame, name: str):
@@ -31,8 +34,15 @@ def null_profile(df: DataFrame, threshold: float = 50.0, digits: int = 1) -> Dat
     NULL shares, which are never flagged.
     """
     cols = df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(_is_missing(df, c)).alias(f"__n{i}") for i, c in enumerate(cols)])
+    return _profile(df.agg(*_null_counts(df)), cols, threshold, digits)
+
+
+def _null_counts(df: DataFrame) -> list[F.Column]:
+    return [F.count(F.lit(1)).alias("__rows"),
+            *[F.count_if(_is_missing(df, c)).alias(f"__n{i}") for i, c in enumerate(df.columns)]]
+
+
+def _profile(wide: DataFrame, cols: list[str], threshold: float, digits: int) -> DataFrame:
     long = wide.unpivot("__rows", [F.col(f"__n{i}").alias(c) for i, c in enumerate(cols)],
                         "column_name", "null_count")
     pct = round_half_even(F.col("null_count") / F.nullif(F.col("__rows"), F.lit(0)) * 100.0, digits)
@@ -45,6 +55,30 @@ def null_profile(df: DataFrame, threshold: float = 50.0, digits: int = 1) -> Dat
     )
 
 
+class Profiled:
+    """``df`` that is profiled while it is written: write ``rows``, then ask for ``n_rows`` and ``profile``.
+
+    The counts come from the write itself (a task that is tried again counts once),
+    so the data is not read a second time.
+    """
+
+    def __init__(self, df: DataFrame):
+        self._seen, self._spark, self.columns = Observation(), df.sparkSession, df.columns
+        self.rows = df.observe(self._seen, *_null_counts(df))
+
+    @property
+    def n_rows(self) -> int:
+        return int(self._seen.get.get("__rows", 0))
+
+    def profile(self, threshold: float = 50.0, digits: int = 1) -> DataFrame:
+        """``null_profile`` of what was written."""
+        names = ["__rows", *[f"__n{i}" for i in range(len(self.columns))]]
+        found = self._seen.get
+        wide = self._spark.createDataFrame([tuple(int(found.get(n, 0)) for n in names)], ", ".join(f"`{n}` long" for n in names))
+        return _profile(wide, self.columns, threshold, digits)
+
+
+
 # ── fixed values: labels of the post-load checks ──────────────────────────────
 CHECK_STATE_COUNT = "State count"
 CHECK_COUNTY_COUNT = "County count"
@@ -80,15 +114,11 @@ def _scalar_checks(df: DataFrame, checks: list[tuple[str, str, F.Column]]) -> Da
                           "value")
 
 
-def check_suite(raw_state: DataFrame, raw_county: DataFrame,
-                offline_share: float = 0.5) -> DataFrame:
-    """The six post-load checks as one long frame (check, item, value).
+Part = tuple[list[str], Callable[[], DataFrame]]   # labels of checks, and the query that gives their rows
 
-    Each table's scalar checks share one scan; the two top-5 lists are
-    top-k queries (no full sort).  A check that cannot be planned (a table
-    lacks its column) gives one row with the error as its item and no value;
-    the others give their results.
-    """
+
+def _check_parts(raw_state: DataFrame, raw_county: DataFrame, offline_share: float, alone: bool) -> list[Part]:
+    """The checks as queries: each table's scalar checks share one scan, or every check is ``alone``."""
     pct = F.col("broadband_penetration_pct")
     state_checks = [
         (CHECK_STATE_COUNT, "count", F.count(F.lit(1))),
@@ -99,24 +129,76 @@ def check_suite(raw_state: DataFrame, raw_county: DataFrame,
         (CHECK_OFFLINE, "county_count",
          F.count_if(F.col("households_no_internet") > F.col("total_households") * offline_share)),
     ]
-    parts = [*_planned(lambda: _scalar_checks(raw_state, state_checks), state_checks, raw_state),
-             *_planned(lambda: _scalar_checks(raw_county, county_checks), county_checks, raw_county)]
+    parts: list[Part] = []
+    for table, checks in ((raw_state, state_checks), (raw_county, county_checks)):
+        for some in ([[c] for c in checks] if alone else [checks]):
+            parts.append(([c[0] for c in some], lambda t=table, some=some: _scalar_checks(t, some)))
     for check, ascending in ((CHECK_TOP5, False), (CHECK_BOTTOM5, True)):
-        parts += _planned(lambda c=check, up=ascending: _labelled(
-            top_states(raw_state, ascending=up), c, F.col("geography_name"), pct), [(check, "", None)], raw_state)
+        parts.append(([check], lambda c=check, up=ascending: _labelled(
+            top_states(raw_state, ascending=up), c, F.col("geography_name"), pct)))
+    return parts
+
+
+def check_suite(raw_state: DataFrame, raw_county: DataFrame,
+                offline_share: float = 0.5) -> DataFrame:
+    """The six post-load checks as one long frame (check, item, value).
+
+    Each table's scalar checks share one scan; the two top-5 lists are
+    top-k queries (no full sort).  A check that cannot be planned (a table
+    lacks its column) gives one row with the error as its item and no value;
+    the others give their results.  An error while the rows are computed fails
+    the frame: ``run_checks`` isolates these too.
+    """
+    spark = raw_state.sparkSession
+    alone = {labels[0]: make for labels, make in _check_parts(raw_state, raw_county, offline_share, alone=True)}
+    parts = []
+    for labels, make in _check_parts(raw_state, raw_county, offline_share, alone=False):
+        try:
+            parts.append(make())
+        except AnalysisException:
+            for label in labels:
+                try:
+                    parts.append(alone[label]())
+                except AnalysisException as e:
+                    parts.append(_failed_check(spark, label, e))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _planned(make, checks: list[tuple[str, str, F.Column]], table: DataFrame) -> list[DataFrame]:
-    """``make()`` alone, or check by check if it cannot be planned; what still cannot is reported as a row."""
+def run_checks(raw_state: DataFrame, raw_county: DataFrame, folder: str, offline_share: float = 0.5) -> DataFrame:
+    """``check_suite``, computed and written as Parquet under ``folder``, with every check's failure kept to itself.
+
+    All checks run as one job that shares scans.  Only if that fails does each run
+    as a job of its own: one that fails (a cell that cannot be read, a lost file)
+    gives a row with the error as its item and no value, the others their results.
+    """
+    spark = raw_state.sparkSession
+    together = f"{folder}/together"
     try:
-        return [make()]
-    except AnalysisException as e:
-        if len(checks) > 1:
-            return [df for c in checks for df in _planned(lambda c=c: _scalar_checks(table, [c]), [c], table)]
-        item = "error: " + str(e).splitlines()[0][:200]
-        return [table.sparkSession.range(1).select(F.lit(checks[0][0]).alias("check"), F.lit(item).alias("item"),
-                                                   F.lit(None).cast("double").alias("value"))]
+        check_suite(raw_state, raw_county, offline_share).coalesce(1).write.parquet(together)
+    except Exception:  # noqa: BLE001 - told apart below
+        files.delete(spark, together)
+        parts = _check_parts(raw_state, raw_county, offline_share, alone=True)
+
+        def one(n: int, label: str, make: Callable[[], DataFrame]) -> None:
+            path = f"{folder}/check-{n}"
+            try:
+                make().coalesce(1).write.parquet(path)
+            except Exception as e:  # noqa: BLE001 - becomes the check's row
+                files.delete(spark, path)
+                _failed_check(spark, label, e).write.parquet(path)
+
+        run_concurrently(*[lambda n=n, p=p: one(n, p[0][0], p[1]) for n, p in enumerate(parts)])
+    return spark.read.schema("check string, item string, value double").option("recursiveFileLookup", True).parquet(folder)
+
+
+def reason(e: BaseException) -> str:
+    """An error in a line: its condition, if Spark names one, else its kind and first line."""
+    named = e.getCondition() if isinstance(e, PySparkException) else None
+    return named or f"{type(e).__name__}: {(str(e).splitlines() or [''])[0]}"[:200]
+
+
+def _failed_check(spark, label: str, e: BaseException) -> DataFrame:
+    return spark.createDataFrame([(label, f"error: {reason(e)}", None)], "check string, item string, value double")
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
