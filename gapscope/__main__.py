@@ -58,6 +58,11 @@ def main(argv: list[str] | None = None) -> int:
             for label, path in {**run.check_paths, **run.preview_paths}.items():
                 print(f"-- {label}")
                 spark.read.parquet(path).show(truncate=False)
+            for name, path in run.reject_paths.items():
+                print(f"rejects of {name}: {path}")
+            if run.failed:
+                run.outcomes().where("status IN ('failed', 'not run')").show(truncate=False)
+                return 1
     finally:
         spark.stop()
     return 0

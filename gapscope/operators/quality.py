@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import files
 from ..functions.expr import avg_rounded, round_half_even
-from ..session import run_concurrently
 
 
 def _is_missing(df: DataFrame, name: str):
@@ -78,7 +76,6 @@ class Profiled:
         return _profile(wide, self.columns, threshold, digits)
 
 
-
 # ── fixed values: labels of the post-load checks ──────────────────────────────
 CHECK_STATE_COUNT = "State count"
 CHECK_COUNTY_COUNT = "County count"
@@ -172,23 +169,15 @@ def run_checks(raw_state: DataFrame, raw_county: DataFrame, folder: str, offline
     gives a row with the error as its item and no value, the others their results.
     """
     spark = raw_state.sparkSession
-    together = f"{folder}/together"
     try:
-        check_suite(raw_state, raw_county, offline_share).coalesce(1).write.parquet(together)
-    except Exception:  # noqa: BLE001 - told apart below
-        files.delete(spark, together)
-        parts = _check_parts(raw_state, raw_county, offline_share, alone=True)
-
-        def one(n: int, label: str, make: Callable[[], DataFrame]) -> None:
-            path = f"{folder}/check-{n}"
+        check_suite(raw_state, raw_county, offline_share).coalesce(1).write.parquet(folder)
+    except Exception:  # noqa: BLE001 - told apart check by check
+        for (label,), make in _check_parts(raw_state, raw_county, offline_share, alone=True):
             try:
-                make().coalesce(1).write.parquet(path)
+                make().coalesce(1).write.mode("append").parquet(folder)
             except Exception as e:  # noqa: BLE001 - becomes the check's row
-                files.delete(spark, path)
-                _failed_check(spark, label, e).write.parquet(path)
-
-        run_concurrently(*[lambda n=n, p=p: one(n, p[0][0], p[1]) for n, p in enumerate(parts)])
-    return spark.read.schema("check string, item string, value double").option("recursiveFileLookup", True).parquet(folder)
+                _failed_check(spark, label, e).coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.schema("check string, item string, value double").parquet(folder)
 
 
 def reason(e: BaseException) -> str:

@@ -54,19 +54,26 @@ def replace_table(df: DataFrame, table: str, path: str, keep: float = KEEP,
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(version)
         if accept is not None:
             accept(int(seen.get.get("rows", 0)))
-        old = current_version(spark, table)
-        if old is None:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")   # of another kind: made by other means
-        spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM parquet.`{version}`")
+        name_version(spark, table, version)
     except Exception:
         files.delete(spark, version)
         raise
-    if old:
-        files.touch(spark, f"{old}/{_REPLACED}")
     sweep(spark, table, path, keep)
     return spark.table(table)
 
 
+def name_version(spark: SparkSession, table: str, version: str) -> None:
+    """Lets ``table`` name a written version; the one that it named before is marked as replaced."""
+    old = current_version(spark, table)
+    if old == version:
+        return
+    if old is None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")   # of another kind: made by other means
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM parquet.`{version}`")
+    if old and files.exists(spark, old):
+        files.touch(spark, f"{old}/{_REPLACED}")
+
+
 @contextmanager
 def reading(spark: SparkSession, table: str) -> Iterator[DataFrame]:
     """The table's rows as they are now, for as long as the block lasts (at most ``LEASE`` seconds): no sweep removes them."""

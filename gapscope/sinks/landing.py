@@ -4,12 +4,15 @@ the shared folder; nothing passes through the driver."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import files
 from ..sources.households import COUNT_COLUMNS
 from ..sources.landing import CENSUS_VARIABLES
 from .catalog import replace_table
@@ -91,14 +94,10 @@ def dataset_record(landed: DataFrame, name: str, source: str, file: str) -> Data
         F.lit(file).alias("file"))
 
 
-def dataset_record_from_profile(profile: DataFrame, columns: list[str], name: str,
-                                source: str, file: str) -> DataFrame:
-    """Manifest entry whose row count comes from an already written null profile
-    (its ``n_rows``), so the landed data is not scanned a second time."""
-    return profile.agg(F.coalesce(F.max("n_rows"), F.lit(0)).cast("long").alias("rows")).select(
-        F.lit(name).alias("name"), F.lit(source).alias("source"), "rows",
-        F.array(*[F.lit(c) for c in columns]).alias("columns"),
-        F.lit(file).alias("file"))
+def known_record(spark: SparkSession, name: str, source: str, rows: int, columns: list[str], file: str) -> DataFrame:
+    """One manifest entry of a dataset whose rows were counted while it was written."""
+    return spark.createDataFrame([(name, source, rows, columns, file)],
+                                 "name string, source string, rows long, columns array<string>, file string")
 
 
 def write_manifest(spark: SparkSession, directory: str, run_id: str,
@@ -118,17 +117,53 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
-def load_full_refresh(df: DataFrame, table: str, path: str, loaded_at: str) -> DataFrame:
-    """DROP + CREATE AS SELECT equivalent: stamp ``loaded_at``, replace the catalog table."""
-    return replace_table(df.withColumn("loaded_at", F.lit(loaded_at)), table, path)
+def newest_recorded(spark: SparkSession, directory: str, name: str) -> tuple[str, int] | None:
+    """(snapshot, rows) of a dataset as the newest finished manifest that has it says; None if none does.
+
+    A manifest is written after its snapshots, so what it names is complete; one
+    without its ``_SUCCESS`` marker is of a run that did not finish.
+    """
+    for entry in reversed(files.entries(spark, directory)):
+        if not (entry.name.startswith("manifest_") and entry.name.endswith(".json") and files.exists(spark, f"{entry.path}/_SUCCESS")):
+            continue
+        found = (read_manifest(spark, entry.path).select(F.explode("datasets").alias("d"))
+                 .where(F.col("d.name") == name).select("d.file", "d.rows").head(1))
+        if found:
+            return found[0]["file"], found[0]["rows"]
+    return None
+
+
+def as_recorded(name: str, snapshot: str, rows: int) -> Callable[[int], None]:
+    """Refuses a load whose rows are not those that the manifest recorded."""
+    def accept(loaded: int) -> None:
+        if loaded != rows:
+            raise ValueError(f"{name}: {snapshot} has {loaded} rows, its manifest says {rows}")
+    return accept
+
+
+def load_full_refresh(df: DataFrame, table: str, path: str, loaded_at: str,
+                      accept: Callable[[int], None] | None = None) -> DataFrame:
+    """DROP + CREATE AS SELECT equivalent: stamp ``loaded_at``, replace the catalog table (if ``accept`` lets its rows)."""
+    return replace_table(df.withColumn("loaded_at", F.lit(loaded_at)), table, path, accept=accept)
 
 
 def export_csv(df: DataFrame, path: str, order: list[Column],
                single_file: bool = False) -> str:
     """Sorted header CSV export.  The sort is a distributed range sort, so the
-    part files concatenate in order; ``single_file`` merges them (small marts)."""
+    part files concatenate in order; ``single_file`` merges them (small marts).
+
+    The export is written aside and then takes the place of an earlier one by a
+    rename: if writing fails, the earlier one is still there.
+    """
+    spark = df.sparkSession
     out = df.orderBy(*order)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").options(**CSV_WRITE).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
+    aside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    try:
+        out.write.options(**CSV_WRITE).option("maxRecordsPerFile", ROWS_PER_FILE).csv(aside)
+        files.publish(spark, aside, path)
+    except Exception:
+        files.delete(spark, aside)
+        raise
     return path

@@ -5,7 +5,8 @@
   it is wrapped into lines (or one line each with ``whole_files=False``), so
   many responses parse in parallel; a document is bounded by what one API
   call returns.  A document that does not parse, or has no header, fails the
-  read with the file's name.  Header codes are renamed, numeric cells coerced
+  read with the file's name, or is left out and counted in the same pass;
+  ``read_rejects`` names these.  Header codes are renamed, numeric cells coerced
   leniently, constants, run stamp and the penetration share added.
 * ``read_open_csv`` — an optional CSV with whatever columns it has (all
   text, no inference pass), plus source and run stamp; absent → ``None``.
@@ -17,10 +18,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import files
 from ..functions.expr import coerce_double, share_pct
 from .households import COUNT_COLUMNS, DATA_SOURCE
 
@@ -44,29 +46,44 @@ def landed_columns(geo_keys: list[str]) -> list[str]:
             "geography_level", "ingested_at", "broadband_penetration_pct"]
 
 
+def _documents(spark: SparkSession, path: str, whole_files: bool) -> tuple[DataFrame, Column, Column]:
+    """(doc, file, begins) of every response document, its header, and what is wrong with it (null: nothing)."""
+    text = spark.read.text(path, wholetext=whole_files).select("value", F.col("_metadata.file_path").alias("file"))
+    if not whole_files:
+        text = text.where(F.trim("value") != "")
+    docs = text.select(F.from_json("value", _DOC).alias("doc"), "file", F.substring("value", 1, 80).alias("begins"))
+    header = F.try_element_at("doc", F.lit(1))
+    wrong = (F.when(F.col("doc").isNull(), "not an array of arrays")
+             .when(F.coalesce(F.size(header), F.lit(0)) <= 0, "no header row"))
+    return docs, header, wrong
+
+
 def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: list[str],
                        ingested_at: str, whole_files: bool = True,
                        variables: dict[str, str] = CENSUS_VARIABLES,
-                       data_source: str = DATA_SOURCE) -> DataFrame:
+                       data_source: str = DATA_SOURCE,
+                       rejected: Observation | None = None) -> DataFrame:
     """Parse response documents into the landed relation for ``level``.
 
     Short rows are filled up with NULL, cells beyond the header are dropped, and
     columns that the header lacks are NULL.  With ``whole_files=False`` every
-    line is a document (blank lines are none).
+    line is a document (blank lines are none).  With ``rejected`` broken
+    documents are left out, and counted there (``documents``) by the job that
+    uses the rows.
     """
-    if whole_files:
-        _refuse_empty_files(spark, path)   # a text scan passes over them
-    text = spark.read.text(path, wholetext=whole_files).select("value", F.col("_metadata.file_path").alias("file"))
-    if not whole_files:
-        text = text.where(F.trim("value") != "")
-    doc = F.from_json("value", _DOC)
-    docs = text.select(doc.alias("doc"), "file")
-    header = F.try_element_at("doc", F.lit(1))
-    broken = F.raise_error(F.concat(F.lit("not a response document with a header row: "), "file"))
+    if whole_files and rejected is None:
+        for empty in empty_files(spark, path):   # a text scan passes over them
+            raise ValueError(f"not a response document with a header row: {empty}")
+    docs, header, wrong = _documents(spark, path, whole_files)
+    if rejected is not None:
+        docs = docs.observe(rejected, F.count_if(wrong.isNotNull()).alias("documents"))
+        broken = F.lit(None)
+    else:
+        broken = F.raise_error(F.concat(F.lit("not a response document with a header row: "), "file"))
     # Row 0 is the header; every later row becomes one record keyed by it.
     # Header and body are split *before* the explode so each output row
     # carries only the small header, never the whole parsed document.
-    body = F.when(F.size(header) > 0, F.slice("doc", F.lit(2), F.size("doc")))
+    body = F.when(wrong.isNull(), F.slice("doc", F.lit(2), F.size("doc")))
     parts = docs.select(header.alias("hdr"), body.otherwise(broken.cast(_DOC)).alias("body"))
     # explode_outer + a filter on the generated row: a plain explode makes the
     # optimizer add a size(body) > 0 filter that parses each document again
@@ -92,26 +109,43 @@ def read_api_responses(spark: SparkSession, path: str, level: str, geo_keys: lis
     )
 
 
-def _refuse_empty_files(spark: SparkSession, path: str) -> None:
-    """Fail if a response file has no bytes at all (from a listing; nothing is read)."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in fs.globStatus(pattern) or []:
-        for status in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
-            name = status.getPath().getName()
-            if status.isFile() and status.getLen() == 0 and not name.startswith(("_", ".")):
-                raise ValueError(f"not a response document with a header row: {status.getPath()}")
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Response files without any bytes (from a listing; nothing is read)."""
+    return [e.path for found in files.matching(spark, path)
+            for e in (files.entries(spark, found.path) if found.folder else [found])
+            if not e.folder and e.size == 0 and not e.name.startswith(("_", "."))]
+
+
+def read_rejects(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """(document, begins, reason) of the response documents under ``path`` that are broken: the file, its or the line's
+    first characters, and what is wrong."""
+    docs, _, wrong = _documents(spark, path, whole_files)
+    rejects = docs.select(F.col("file").alias("document"), "begins", wrong.alias("reason")).where("reason IS NOT NULL")
+    if whole_files:
+        empty = spark.read.format("binaryFile").load(path).where("length = 0").select(
+            F.col("path").alias("document"), F.lit("").alias("begins"), F.lit("no bytes").alias("reason"))
+        rejects = rejects.unionByName(empty)
+    return rejects
+
+
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether a record of the CSV files goes over several lines: its first line then has an odd number of quotes.
+    Lines are read in splits, so this takes many tasks however large a file is."""
+    odd = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(odd % 2 == 1).isEmpty()
 
 
 def read_open_csv(spark: SparkSession, path: str, ingested_at: str,
                   data_source: str = OPEN_DATA_SOURCE,
-                  multiline: bool = True) -> DataFrame | None:
+                  multiline: bool | None = None) -> DataFrame | None:
     """Optional open-data CSV: header row, any columns kept as text; absent → None.
 
     ``multiline`` allows quoted newlines inside cells and makes each file a
-    single task; turn it off for huge files that are known to have none.
+    single task; left open, it is turned on only if a cell of the files has one.
     """
     try:
+        if multiline is None:
+            multiline = has_quoted_newlines(spark, path)
         df = (spark.read.option("header", True).option("multiLine", multiline)
               .option("escape", '"').csv(path))
     except AnalysisException as e:
@@ -128,19 +162,9 @@ def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | N
     Only names are listed, one level deep.  A folder counts only with its
     ``_SUCCESS`` marker: a run that crashed while writing is not a snapshot.
     """
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    base = path_of(directory)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return None
-    best = None
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if not (name.startswith(f"{prefix}_") and name.endswith(".csv")) or (best and name <= best[0]):
-            continue
-        if status.isFile() or fs.exists(path_of(status.getPath(), "_SUCCESS")):
-            best = name, status.getPath().toString()
-    return best[1] if best else None
+    return next((e.path for e in reversed(files.entries(spark, directory))
+                 if e.name.startswith(f"{prefix}_") and e.name.endswith(".csv")
+                 and (not e.folder or files.exists(spark, f"{e.path}/_SUCCESS"))), None)
 
 
 def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
