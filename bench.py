@@ -68,9 +68,9 @@ def main() -> None:
     queries = {
         "q1": lambda: A.q1_scorecard(ms), "q2": lambda: A.q2_ranking(ms),
         "q3": lambda: A.q3_fiber(ms, state_bound=wh.state_bound),
-        "q4": lambda: A.q4_by_state(mu),
+        "q4": lambda: A.q4_of(wh.region_summary()),   # builds the summary that q7 shares
         "q5": lambda: A.q5_critical(mu), "q6": lambda: A.q6_gap_index(mu),
-        "q7": lambda: A.q7_impact(mu), "q8": lambda: A.q8_tiers(ms),
+        "q7": lambda: A.q7_of(wh.region_summary()), "q8": lambda: A.q8_tiers(ms),
     }
     for name, q in queries.items():
         times[name] = _timed(lambda q=q: q().collect())

@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import (FIBER_EDGE, GAP_WEIGHT, NO_INTERNET_WEIGHT, avg_rounded,
+from ..functions.expr import (FIBER_EDGE, GAP_WEIGHT, NO_INTERNET_WEIGHT, SEVERITY_BANDS, SEVERITY_ELSE, avg_rounded,
                               cast_int, nullif_zero, round_half_away)
 from ..operators.rank import global_rank
 
 
+SEVERITIES = (*(label for _, _, label in SEVERITY_BANDS), SEVERITY_ELSE)
+
+
 def _avg2(c: str) -> F.Column:
     return avg_rounded(c)
 
@@ -60,18 +63,29 @@ def q3_fiber(mart_state: DataFrame, edge: int = FIBER_EDGE,
             .orderBy("fiber_rank", "state_name"))
 
 
-def q4_by_state(mart_u: DataFrame, k: int = 20) -> DataFrame:
+def region_summary(mart_u: DataFrame) -> DataFrame:
+    """All that is counted, averaged or summed of the underserved sub-regions by region, in one scan: a row per region."""
     sev = F.col("underserved_severity")
-    return (mart_u.groupBy("state_name").agg(
-        F.count(F.lit(1)).alias("underserved_county_count"),
+    return mart_u.groupBy("state_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("county_name").alias("named"),
         _avg2("county_broadband_pct").alias("avg_county_broadband_pct"),
         _avg2("no_internet_pct").alias("avg_no_internet_pct"),
-        F.count_if(sev == "Critical").alias("critical_counties"),
-        F.count_if(sev == "Severe").alias("severe_counties"))
+        F.sum("total_households").alias("households"), F.sum("households_broadband_any").alias("connected"),
+        *[F.count_if(sev == label).alias(label) for label in SEVERITIES])
+
+
+def q4_of(summary: DataFrame, k: int = 20) -> DataFrame:
+    return (summary.select(
+        "state_name", F.col("rows").alias("underserved_county_count"), "avg_county_broadband_pct", "avg_no_internet_pct",
+        F.col("Critical").alias("critical_counties"), F.col("Severe").alias("severe_counties"))
         .orderBy(F.col("underserved_county_count").desc(), F.col("state_name").asc_nulls_last())
         .limit(k))
 
 
+def q4_by_state(mart_u: DataFrame, k: int = 20) -> DataFrame:
+    return q4_of(region_summary(mart_u), k)
+
+
 def q5_critical(mart_u: DataFrame) -> DataFrame:
     without = cast_int(F.col("total_households") * (1 - F.col("county_broadband_pct") / 100.0))
     return (mart_u.filter(F.col("underserved_severity") == "Critical")
@@ -95,10 +109,10 @@ def q6_gap_index(mart_u: DataFrame, k: int = 25) -> DataFrame:
                     "broadband_gap_index", "underserved_severity"))
 
 
-def q7_impact(mart_u: DataFrame, k: int = 15) -> DataFrame:
-    tot, bb = F.sum("total_households"), F.sum("households_broadband_any")
-    return (mart_u.groupBy("state_name").agg(
-        F.count("county_name").alias("underserved_counties"),
+def q7_of(summary: DataFrame, k: int = 15) -> DataFrame:
+    tot, bb = F.col("households"), F.col("connected")
+    return (summary.select(
+        "state_name", F.col("named").alias("underserved_counties"),
         tot.alias("total_households_in_underserved"),
         bb.alias("households_with_broadband"),
         (tot - bb).alias("households_without_broadband"),
@@ -108,6 +122,10 @@ def q7_impact(mart_u: DataFrame, k: int = 15) -> DataFrame:
         .limit(k))
 
 
+def q7_impact(mart_u: DataFrame, k: int = 15) -> DataFrame:
+    return q7_of(region_summary(mart_u), k)
+
+
 def q8_tiers(mart_state: DataFrame) -> DataFrame:
     members = F.expr("listagg(state_name, ', ') WITHIN GROUP "
                      "(ORDER BY broadband_penetration_pct DESC NULLS LAST, state_name)")
@@ -132,7 +150,11 @@ def preview_counties(mart_u: DataFrame, k: int = 10) -> DataFrame:
             .select("county_name", "state_name", "county_broadband_pct", "underserved_severity"))
 
 
-def severity_counts(mart_u: DataFrame) -> DataFrame:
-    return (mart_u.groupBy("underserved_severity")
-            .agg(F.count(F.lit(1)).alias("county_count"))
+def severity_of(summary: DataFrame) -> DataFrame:
+    counts = summary.agg(*[F.sum(label).alias(label) for label in SEVERITIES])
+    return (counts.unpivot([], list(SEVERITIES), "underserved_severity", "county_count").where("county_count > 0")
             .orderBy(F.col("county_count").desc(), "underserved_severity"))
+
+
+def severity_counts(mart_u: DataFrame) -> DataFrame:
+    return severity_of(region_summary(mart_u))

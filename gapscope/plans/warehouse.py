@@ -19,9 +19,9 @@ from ..session import fresh_dir, materialize, run_concurrently
 from ..sources.households import (DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT, RULES,
                                   DerivationRules, raw_relations)
 from ..sources.tables import row_count
-from . import models
+from . import analytics, models
 
-RAW_TABLES = ("census_state", "census_county")
+# fixed values: the marts' names
 MART_TABLES = ("mart_state_broadband_summary", "mart_underserved_counties")
 
 
@@ -108,3 +108,11 @@ class Warehouse:
         if self._marts_built:
             return self.spark.read.parquet(self.path("marts", MART_TABLES[1]))
         return self.mart_underserved_lazy()
+
+    @cached_property
+    def _region_summary(self) -> DataFrame:
+        return materialize(analytics.region_summary(self.build_marts().mart_underserved()), "region-summary")
+
+    def region_summary(self) -> DataFrame:
+        """The underserved mart's aggregates by region: one scan, then shared by all that reports them."""
+        return self._region_summary

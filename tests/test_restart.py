@@ -1,0 +1,196 @@
+"""Failures: what is left, what goes on, and what a second run repeats."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from gapscope import files
+from gapscope.plans import batch as P
+from gapscope.plans.ledger import Ledger
+from gapscope.session import fresh_dir
+from gapscope.sinks import landing as K
+from gapscope.sources.landing import has_quoted_newlines, read_api_responses, read_landed_csv, read_open_csv, read_rejects
+
+AT_ONCE = {kind: (0, 0.0) for kind in P.RETRIES}
+
+
+def failing_once(fn, when=lambda *a, **k: True, message="injected"):
+    left = [1]
+
+    def wrapped(*args, **kwargs):
+        if left[0] and when(*args, **kwargs):
+            left[0] = 0
+            raise OSError(message)
+        return fn(*args, **kwargs)
+
+    return wrapped
+
+
+def failing(fn, when, message="injected"):
+    def wrapped(*args, **kwargs):
+        if when(*args, **kwargs):
+            raise OSError(message)
+        return fn(*args, **kwargs)
+
+    return wrapped
+
+
+def told(run):
+    return {r.step: (r.status, r.detail) for r in run.spark.read.parquet(f"{run.root}/outcomes_{run.run_id}").collect()}
+
+
+def test_a_step_runs_again_only_if_it_has_to(spark):
+    root = fresh_dir(spark, "t-ledger")
+    made = f"{root}/made"
+    calls = []
+
+    def make(n, fail=False):
+        def do():
+            calls.append(n)
+            assert not files.exists(spark, made)            # nothing of an earlier attempt is there
+            spark.range(n).write.parquet(made)
+            if fail:
+                raise OSError("injected")
+            return {"rows": n}
+        return do
+
+    with pytest.raises(OSError):
+        Ledger(spark, root).run("step 1/x", make(3, fail=True), {"of": [1]}, [made], retries=1)
+    assert calls == [3, 3]
+    first = Ledger(spark, root).run("step 1/x", make(4), {"of": [1]}, [made])
+    again = Ledger(spark, root)
+    assert again.run("step 1/x", make(5), {"of": [1]}, [made]) == first and again.kept == ["step 1/x"] and not again.ran
+    later = again.run("step 2", lambda: {"made": [made]}, {}, after=[first])
+    assert Ledger(spark, root).run("step 2", make(9), {}, after=[first]) == later
+    other = again.run("step 1/x", make(6), {"of": [2]}, [made])            # other inputs
+    assert other["rows"] == 6 and again.run("step 2", lambda: {"fresh": 1}, {}, after=[other])["fresh"] == 1
+    files.delete(spark, made)                                              # its output is gone
+    assert Ledger(spark, root).run("step 1/x", make(7), {"of": [2]}, [made])["rows"] == 7
+
+
+def test_a_job_that_fails_at_its_third_step_goes_on_there(spark, monkeypatch):
+    root = fresh_dir(spark, "t-restart")
+    with monkeypatch.context() as m:
+        m.setattr(P, "load_full_refresh", failing(P.load_full_refresh, lambda df, table, *a, **k: True))
+        first = P.run_batch_job(spark, SF_SMALL, root, retries=AT_ONCE)
+    assert {s for s, (status, _) in told(first).items() if status == "failed"} == {"load census_state", "load census_county"}
+    assert told(first)["load census_state"] == ("failed", "OSError: injected") and told(first)["mart mart_underserved_counties"][0] == "not run"
+    second = P.run_batch_job(spark, SF_SMALL, root, retries=AT_ONCE)
+    early = {"acquire", "responses census_state", "responses census_county", "land census_state", "land census_county", "manifest"}
+    assert set(second.ledger.kept) == early and not second.failed
+    assert second.mart("mart_underserved_counties").count() == 29
+    third = P.run_batch_job(spark, SF_SMALL, root)
+    assert not third.ledger.ran and third.mart("mart_underserved_counties").count() == 29 and third.raw("census_county").count() == 150
+
+
+def test_a_failed_step_is_tried_again(spark, monkeypatch):
+    monkeypatch.setattr(P, "land_api_responses", failing_once(P.land_api_responses))
+    monkeypatch.setattr(P, "export_csv", failing_once(P.export_csv))
+    run = P.run_batch_job(spark, SF_SMALL, retries={kind: (1, 0.0) for kind in P.RETRIES})
+    assert not run.failed and set(run.export_paths) == set(P.EXPORT_FILES)
+
+
+def test_a_failed_export_leaves_the_others_and_the_old_file(spark, monkeypatch):
+    root = fresh_dir(spark, "t-export")
+    P.run_batch_job(spark, SF_SMALL, root, run_id="20240101_000000")
+    old = f"{root}/output/underserved_counties.csv"
+    before = sorted(map(str, spark.read.text(old).collect()))
+    real = K.export_csv
+
+    def disk_full(df, path, order, **k):
+        bad = F.when(F.col("county_name").isNotNull(), F.raise_error(F.lit("disk full"))) if path == old else None
+        return real(df if bad is None else df.withColumn("loaded_at", bad.cast("string")), path, order, **k)
+
+    monkeypatch.setattr(P, "export_csv", disk_full)
+    run = P.run_batch_job(spark, SF_SMALL, root, run_id="20240102_000000", retries=AT_ONCE)
+    assert run.failed == ["export mart_underserved_counties"] and set(run.preview_paths) == {"states", "counties", "severity"}
+    assert list(run.export_paths) == ["mart_state_broadband_summary"]
+    assert sorted(map(str, spark.read.text(old).collect())) == before
+    assert sorted(os.listdir(f"{root}/output".removeprefix("file:"))) == ["state_broadband_summary.csv", "underserved_counties.csv"]
+
+
+def test_a_dataset_that_fails_leaves_the_other(spark, monkeypatch):
+    monkeypatch.setattr(P, "land_api_responses", failing(P.land_api_responses, lambda df, path, *a, **k: "census_state" in path))
+    run = P.run_batch_job(spark, SF_SMALL, retries=AT_ONCE)
+    assert told(run)["responses census_state"] == ("failed", "OSError: injected")
+    assert run.raw("census_county").count() == 150 and set(run.raw_tables) == {"census_county"}
+    checks = {}
+    for r in spark.read.parquet(run.check_paths["checks"]).collect():
+        checks.setdefault(r.check, []).append(r.value)
+    assert len(checks) == 6 and checks["County count"] == [150.0] and checks["State count"] == [None]
+    assert {s for s in told(run) if told(run)[s][0] == "not run"} >= {"mart mart_state_broadband_summary", "export mart_underserved_counties"}
+
+
+def test_an_optional_source_that_cannot_be_read_is_skipped(spark, monkeypatch):
+    root = fresh_dir(spark, "t-open")
+    download = P.open_data_stand_in(spark, SF_SMALL, root)
+    monkeypatch.setattr(P, "read_open_csv", failing(P.read_open_csv, lambda *a, **k: True))
+    run = P.run_batch_job(spark, SF_SMALL, root, open_data_path=download, retries=AT_ONCE)
+    assert run.failed == ["land fcc_477"] and run.mart("mart_underserved_counties").count() == 29
+
+
+def test_broken_documents_become_rejects(spark, monkeypatch):
+    """Of one dataset a response is broken: it is named, the other documents and the other dataset load."""
+    real = P.land_api_responses
+
+    def with_broken(df, path, *a, **k):
+        real(df, path, *a, **k)
+        if "census_county" in path:
+            spark.createDataFrame([("<html>busy</html>",), ("[[]]",)], "value string").write.mode("append").text(path)
+        return path
+
+    monkeypatch.setattr(P, "land_api_responses", with_broken)
+    run = P.run_batch_job(spark, SF_SMALL, retries=AT_ONCE)
+    assert not run.failed and run.raw("census_county").count() == 150 and run.raw("census_state").count() == 24
+    assert set(run.reject_paths) == {"census_county"}
+    rejects = spark.read.parquet(run.reject_paths["census_county"]).collect()
+    assert sorted((r.begins, r.reason) for r in rejects) == [("<html>busy</html>", "not an array of arrays"), ("[[]]", "no header row")]
+    assert all("census_county" in r.document for r in rejects)
+
+
+def test_rejected_files(spark, tmp_path):
+    good = '[["B28002_001E", "state"], ["1", "01"]]'
+    for name, text in {"good": good, "also": good.replace("01", "02"), "cut": good[:-9], "none": "", "null": "null", "bare": "[]"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    from pyspark.sql import Observation
+    rejected = Observation()
+    rows = read_api_responses(spark, str(tmp_path), "state", ["state"], "T0", rejected=rejected).collect()
+    assert sorted(r.state for r in rows) == ["01", "02"] and rejected.get["documents"] == 3      # a file without bytes is no text row
+    found = {r.document.rsplit("/", 1)[-1]: r.reason for r in read_rejects(spark, str(tmp_path)).collect()}
+    assert found == {"cut.json": "not an array of arrays", "null.json": "not an array of arrays", "none.json": "no bytes", "bare.json": "no header row"}
+
+
+def test_a_truncated_snapshot_is_refused(spark):
+    root = fresh_dir(spark, "t-manifest")
+    snaps, _ = P.ingest(spark, SF_SMALL, root)
+    run = P.BatchRun(spark, root, "20240105_000000", (f"raw_{root.rsplit('-', 1)[-1]}", "s", "m"), AT_ONCE)
+    loaded = P.load(run)
+    assert {n: d["rows"] for n, d in loaded.items()} == {"census_state": 24, "census_county": 150}
+    part = next(f for f in files.entries(spark, snaps["census_county"]) if f.name.startswith("part-"))
+    short = read_landed_csv(spark, part.path, P.landed_schema(P.COUNTY_KEYS)).limit(100)
+    path = K.land_csv(short, f"{root}/landing", "census_county", "20240106_000000")
+    K.write_manifest(spark, f"{root}/landing", "20240106_000000", [K.known_record(spark, "census_county", P.COUNTY_SOURCE, 150, short.columns, path)])
+    later = P.BatchRun(spark, root, "20240106_000000", run.namespaces, AT_ONCE)
+    assert set(P.load(later)) == {"census_state"}
+    status, detail = later.told["load census_county"]
+    assert status == "failed" and "100 rows" in detail and spark.table(loaded["census_county"]["table"]).count() == 150
+
+
+def test_an_unfinished_manifest_does_not_count(spark):
+    d = fresh_dir(spark, "t-manifests")
+    record = [K.known_record(spark, "x", "s", 1, ["a"], "f1")]
+    K.write_manifest(spark, d, "1", record)
+    files.delete(spark, K.write_manifest(spark, d, "2", [K.known_record(spark, "x", "s", 2, ["a"], "f2")]) + "/_SUCCESS")
+    K.write_manifest(spark, d, "3", [K.known_record(spark, "y", "s", 3, ["a"], "f3")])
+    assert K.newest_recorded(spark, d, "x") == ("f1", 1) and K.newest_recorded(spark, d, "z") is None
+
+
+def test_a_large_csv_is_one_task_only_if_a_cell_has_a_newline(spark, tmp_path):
+    plain, odd = tmp_path / "plain.csv", tmp_path / "odd.csv"
+    plain.write_text('a,b\n1,"x, ""y"""\n2,z\n')
+    odd.write_text('a,b\n1,"two\nlines"\n2,z\n')
+    assert not has_quoted_newlines(spark, str(plain)) and has_quoted_newlines(spark, str(odd))
+    assert [r.b for r in read_open_csv(spark, str(plain), "T0").collect()] == ['x, "y"', "z"]
+    assert [r.b for r in read_open_csv(spark, str(odd), "T0").collect()] == ["two\nlines", "z"]
