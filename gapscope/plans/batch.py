@@ -33,8 +33,8 @@ from .. import files
 from ..operators.quality import Profiled, check_suite, describe, reason, run_checks, table_row_counts
 from ..session import fresh_dir, run_concurrently
 from ..sinks import catalog
-from ..sinks.landing import (as_recorded, export_csv, known_record, land_api_responses, land_csv,
-                             load_full_refresh, newest_recorded, snapshot_path, write_manifest)
+from ..sinks.landing import (as_recorded, export_csv, land_api_responses, land_csv, load_full_refresh,
+                             newest_recorded, snapshot_path, write_known_manifest)
 from ..sources.households import (COUNT_COLUMNS, DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT,
                                   LEVEL_COUNTY, LEVEL_STATE, raw_county, raw_state, written_counts)
 from ..sources.landing import (empty_files, latest_snapshot, read_api_responses, read_landed_csv,
@@ -206,8 +206,8 @@ def ingest_steps(run: BatchRun, sf_dir: str, ingested_at: str = DEFAULT_INGESTED
         return {}
     path = f"{root}/landing/manifest_{run_id}.json"
     fields = ("name", "source", "rows", "columns", "file")
-    manifest = run.step("manifest", lambda: {"path": write_manifest(
-        spark, f"{root}/landing", run_id, [known_record(spark, *[d[f] for f in fields]) for d in landed.values()])},
+    manifest = run.step("manifest", lambda: {"path": write_known_manifest(
+        spark, f"{root}/landing", run_id, [tuple(d[f] for f in fields) for d in landed.values()])},
         {}, [path], landed.values(), kind="ingest")
     run.manifest_path = manifest["path"] if manifest else ""
     return landed if manifest else {}

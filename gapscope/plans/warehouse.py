@@ -94,8 +94,7 @@ class Warehouse:
             run_concurrently(
                 lambda: self.mart_state_lazy().write.mode("overwrite").parquet(
                     self.path("marts", MART_TABLES[0])),
-                lambda: self.mart_underserved_lazy().write.mode("overwrite").parquet(
-                    self.path("marts", MART_TABLES[1])))
+                self._build_underserved)
             self._marts_built = True
         return self
 
@@ -109,10 +108,11 @@ class Warehouse:
             return self.spark.read.parquet(self.path("marts", MART_TABLES[1]))
         return self.mart_underserved_lazy()
 
-    @cached_property
-    def _region_summary(self) -> DataFrame:
-        return materialize(analytics.region_summary(self.build_marts().mart_underserved()), "region-summary")
+    def _build_underserved(self) -> None:
+        mart, summary = self.path("marts", MART_TABLES[1]), self.path("marts", "underserved_by_region")
+        self.mart_underserved_lazy().write.mode("overwrite").parquet(mart)
+        analytics.region_summary(self.spark.read.parquet(mart)).coalesce(1).write.mode("overwrite").parquet(summary)   # a row per region
 
     def region_summary(self) -> DataFrame:
         """The underserved mart's aggregates by region: one scan, then shared by all that reports them."""
-        return self._region_summary
+        return self.build_marts().spark.read.parquet(self.path("marts", "underserved_by_region"))

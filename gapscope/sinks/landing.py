@@ -113,6 +113,15 @@ def write_manifest(spark: SparkSession, directory: str, run_id: str,
     return path
 
 
+def write_known_manifest(spark: SparkSession, directory: str, run_id: str,
+                         records: list[tuple[str, str, int, list[str], str]]) -> str:
+    """``write_manifest`` of entries (name, source, rows, columns, file) that are known to the driver: no job but the write."""
+    path = f"{directory.rstrip('/')}/manifest_{run_id}.json"
+    whole = spark.createDataFrame([(run_id, PIPELINE_VERSION, records)], MANIFEST_SCHEMA)
+    whole.coalesce(1).write.mode("errorifexists").json(path)
+    return path
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
