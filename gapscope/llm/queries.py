@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, source_audit, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
-from gapscope.session import fresh_dir, materialize
+from gapscope.session import fresh_dir
 
 #: Folder of the vocabulary files; they are read where the tasks run.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -66,12 +66,11 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     path = fresh_dir(spark, "mixture")
-    mixing.write_mixture(docs, path)
-    sized = docs.select("source", mixing.n_words(F.col("text")).alias("size")).groupBy("source")
-    sources = materialize(mixing.targets(sized.agg(F.sum("size").alias("source_size"))), "mix-targets")
-    return mixing.taken_words(docs, spark.read.schema(docs.schema).parquet(path), sources)
+    mixing.write_mixture(planned, path)
+    mixed = spark.read.schema("doc_id long, text string, source string, mix_id long").parquet(path)
+    return mixing.taken_words(planned, mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

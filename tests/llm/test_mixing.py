@@ -58,7 +58,7 @@ def test_query_makes_the_mixed_documents(spark, docs, monkeypatch):
     """The rows' taken words are those of mixed documents that the query writes: whole, and in global order."""
     written = []
     write = mixing.write_mixture
-    monkeypatch.setattr(mixing, "write_mixture", lambda df, path, **kw: written.append(path) or write(df, path, **kw))
+    monkeypatch.setattr(mixing, "write_mixture", lambda planned, path: written.append(path) or write(planned, path))
     rows = op8_mixing(spark, SF).collect()
     assert len(written) == 1
     texts = {r.doc_id: (r.text, r.source) for r in docs.collect()}
@@ -72,6 +72,47 @@ def test_query_makes_the_mixed_documents(spark, docs, monkeypatch):
     assert [r.doc_id for r in mixed] == [r.doc_id for r in mixing.mixture(docs.select("doc_id", "text", "source")).collect()]
 
 
+def repeated(spark, tmp_path):
+    """Documents of which some occur three times or a thousand times, some share an id, some have none."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(0, 30)), "abc"[int(rng.integers(0, 3))]) for i in range(300)]
+    rows += rows[:40] * 2 + [(7, f"other {i} text", "a") for i in range(50)] + [(None, f"none {i % 5}", "b") for i in range(60)]
+    rows += [(1000, "five words in a document", "c")] * 1000 + [(None, None, None), (None, None, None), (None, "x y z", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    df.repartition(7).write.parquet(str(tmp_path / "documents.parquet"))
+    return rows
+
+
+def test_query_on_repeated_and_null_ids(spark, tmp_path):
+    """A row for every document, no document above twice its size, and the SQL's rows."""
+    rows = repeated(spark, tmp_path)
+    got = op8_mixing(spark, str(tmp_path)).collect()
+    size = lambda t: len(t.split()) if t else 0
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter((i, size(t)) for i, t, _ in rows)
+    assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in got)
+    total = sum(r.taken for r in got)
+    assert 1.5 * sum(r["size"] for r in got) - 60 <= total <= 1.5 * sum(r["size"] for r in got)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(mixing.ORACLE)
+    names = [d[0] for d in result.description]
+    assert Counter(tuple(r[n] for n in names) for r in got) == Counter(result.fetchall())
+    assert Counter(map(tuple, got)) == Counter(map(tuple, op8_mixing(spark, str(tmp_path)).collect()))
+
+
+def test_no_window_holds_a_repeated_row(spark, tmp_path, monkeypatch):
+    """Rows that are alike come from several partitions, and only those of one partition meet."""
+    repeated(spark, tmp_path)
+    df = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    usual = Counter(map(str, mixing.mix(df).drop("finish").collect()))
+    planned = mixing.plan_mix(df)
+    alike = planned.rows.where(F.col("mix_row.doc_id") == 1000).groupBy(F.shiftright("mix_id", 33)).count().collect()
+    assert len(alike) == 7 and max(r["count"] for r in alike) < 200
+    finish = [r.finish for r in planned.plan.join(planned.rows, "mix_id").where(F.col("mix_row.doc_id") == 1000).collect()]
+    assert len(set(finish)) == 1000                          # they are places apart, not one place
+    assert Counter(map(str, mixing.mix(df.coalesce(2)).drop("finish").collect())) == usual
+
+
 def test_shares_and_order(spark):
     """Every source is near its target at every moment, whatever the cells; a source has two thirds of all words."""
     rng = np.random.default_rng(16)
