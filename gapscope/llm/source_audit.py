@@ -8,7 +8,7 @@ recount them as ordinals: no term is shuffled again, and ordinals settle ties.
 
 A vocabulary may grow without bound, so transducers are broadcast up to
 ``PASS_BYTES`` at a time and the texts of their languages are read once for each
-such pass (one pass holds some ten million terms).
+such pass (one pass holds millions of terms).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import string
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +29,11 @@ from gapscope.session import Scratch
 #: Fixed values of the contract: documents a term must be in, scale of shares, terms told per group.
 IN_DOCUMENTS, SCALE, TOLD = 10, 1_000_000_000, 10
 #: Terms, and bytes of terms, in a transducer; bytes of transducers that are broadcast at once.
-STRETCH, STRETCH_BYTES, PASS_BYTES = 1 << 16, 4 << 20, 64 << 20
+STRETCH, STRETCH_BYTES, PASS_BYTES = 1 << 16, 4 << 20, 32 << 20
 #: Distinct words that a task counts before it passes them on, and bytes of text it splits at once.
 DISTINCT, CHUNK_BYTES = 200_000, 4 << 20
+#: Counts of ordinals that a task adds up before it passes them on (16 bytes each).
+SUMS = 2_000_000
 #: Every byte that no term holds as a blank, A-Z as a-z.
 _FOLD = bytes(b if b >= 0x80 or chr(b) in string.ascii_lowercase else b + 32 if chr(b) in string.ascii_uppercase else 32 for b in range(256))
 
@@ -133,22 +136,42 @@ def recount(texts: DataFrame, stretches: DataFrame, scratch: Scratch) -> DataFra
 
 
 def _streamed(texts: DataFrame, shared) -> DataFrame:
-    """Words of ``texts`` as ordinals of the broadcast transducers: words met since the last time are folded and run through together."""
+    """Words of ``texts`` as ordinals of the broadcast transducers: words are counted together before they
+    run through, and ordinals before they leave."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines: dict[bytes, list[tuple[int, Transducer]]] = defaultdict(list)
         for lang, offset, arcs in shared.value:
             machines[lang].append((offset, Transducer.from_bytes(arcs)))
 
-        def told(found: dict[tuple[bytes, bytes], Counter]) -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in found.items():
-                words, n = list(counts), pa.array(list(counts.values()), pa.int64())
-                for offset, machine in machines[lang]:
+        def run_through() -> None:
+            """The words met since the last time, as ordinals."""
+            for key, counts in found.items():
+                words, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                for offset, machine in machines[key[0]]:
                     ordinal = machine.ordinals(words)
-                    there = (ordinal >= 0).nonzero()[0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.binary()), pa.array([source] * len(there), pa.binary()),
-                                                      pa.array(ordinal[there] + offset), n.take(pa.array(there))],
-                                                     names=["lang", "source", "ordinal", "n"])
-
+                    there = ordinal >= 0
+                    sums[key].append((ordinal[there] + offset, n[there]))
+            found.clear()
+
+        def fold() -> int:
+            """One count for each ordinal of a source; how many these are."""
+            total = 0
+            for key, some in sums.items():
+                ordinal, n = (np.concatenate([s[k] for s in some]) for k in (0, 1))
+                order = np.argsort(ordinal, kind="stable")
+                ordinal, n = ordinal[order], n[order]
+                first = np.flatnonzero(np.diff(ordinal, prepend=-1))
+                sums[key] = [(ordinal[first], np.add.reduceat(n, first) if len(first) else n)]
+                total += len(first)
+            return total
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for (lang, source), ((ordinal, n),) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.binary()), len(n)), pa.repeat(pa.scalar(source, pa.binary()), len(n)),
+                                                  pa.array(ordinal), pa.array(n)], names=["lang", "source", "ordinal", "n"])
+            sums.clear()
+
+        sums: dict[tuple[bytes, bytes], list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
         found: dict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
         waiting: dict[tuple[bytes, bytes], list[bytes]] = defaultdict(list)
         size = 0
@@ -165,10 +188,13 @@ def _streamed(texts: DataFrame, shared) -> DataFrame:
                 split()
                 size = 0
                 if sum(map(len, found.values())) > DISTINCT:
-                    yield from told(found)
-                    found.clear()
+                    run_through()
+                    if fold() > SUMS:
+                        yield from told()
         split()
-        yield from told(found)
+        run_through()
+        fold()
+        yield from told()
 
     return texts.select("text", "lang", "source").mapInArrow(task, "lang binary, source binary, ordinal long, n long")
 

@@ -14,6 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+_ONE = np.uint64(1)
+_BIT = _ONE << np.arange(64, dtype=np.uint64)
+
 
 @dataclass
 class Transducer:
@@ -26,8 +29,12 @@ class Transducer:
 
     def __post_init__(self):
         states = len(self.final)
-        source = np.repeat(np.arange(states), np.diff(self.first))
-        self.keys = source * 256 + self.label
+        # which bytes leave a state: four words of bits, with the arcs before each word, so that an arc is found by counting bits
+        cell = np.repeat(np.arange(states) * 4, np.diff(self.first)) + (self.label >> 6)
+        self.bits = np.zeros(states * 4, np.uint64)
+        np.bitwise_or.at(self.bits, cell, _BIT[self.label & 63])
+        ones = np.bitwise_count(self.bits).astype(np.int32)
+        self.arcs_before = np.cumsum(ones, dtype=np.int32) - ones
         terms, self.output = np.zeros(states, np.int64), np.zeros(len(self.target), np.int64)
         for s in range(states):  # children come first
             low, high = self.first[s], self.first[s + 1]
@@ -61,10 +68,12 @@ class Transducer:
             ended = done & (self.final[state] > 0)
             out[going[ended]] = sums[ended]
             going, state, sums = going[~done], state[~done], sums[~done]
-            key = state * 256 + text[start[going] + at]
-            arc = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-            there = self.keys[arc] == key if len(self.keys) else np.zeros(len(going), bool)
-            arc = arc[there]
+            byte = text[start[going] + at]
+            cell, bit = state * 4 + (byte >> 6), _BIT[byte & 63]
+            leaving = self.bits[cell]
+            there = (leaving & bit) != 0
+            smaller = np.bitwise_count(leaving[there] & (bit[there] - _ONE))
+            arc = self.arcs_before[cell[there]] + smaller
             going, state, sums = going[there], self.target[arc].astype(np.int64), sums[there] + self.output[arc]
             at += 1
         return out

@@ -94,9 +94,10 @@ def odd(tricky):
     return rows
 
 
-@pytest.mark.parametrize("stretch,pass_bytes,distinct,chunk", [(1 << 16, 64 << 20, 200_000, 4 << 20), (2, 1, 1, 1), (3, 200, 4, 50)])
-def test_every_case_in_stretches_and_passes(spark, odd, monkeypatch, stretch, pass_bytes, distinct, chunk):
-    for name, value in (("STRETCH", stretch), ("PASS_BYTES", pass_bytes), ("DISTINCT", distinct), ("CHUNK_BYTES", chunk)):
+@pytest.mark.parametrize("stretch,pass_bytes,distinct,chunk,sums", [
+    (1 << 16, 64 << 20, 200_000, 4 << 20, 2_000_000), (2, 1, 1, 1, 0), (3, 200, 4, 50, 5)])
+def test_every_case_in_stretches_and_passes(spark, odd, monkeypatch, stretch, pass_bytes, distinct, chunk, sums):
+    for name, value in (("STRETCH", stretch), ("PASS_BYTES", pass_bytes), ("DISTINCT", distinct), ("CHUNK_BYTES", chunk), ("SUMS", sums)):
         monkeypatch.setattr(source_audit, name, value)
     rows = odd[-200:] if stretch < 10 else odd  # many small jobs
     df = spark.createDataFrame([(*r, 1) for r in rows], "text string, lang string, source string, n int").withColumns(
