@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapscope.llm.common import WORD, free_name, quoted, sparing_disk, without
-from gapscope.session import materialize
+from gapscope.session import Scratch, delete_path, fresh_dir, materialize
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -73,7 +73,7 @@ class Mix:
     rows: DataFrame
     plan: DataFrame
     row: str
-    columns: list[str]
+    path: str   #: of the written rows
 
 
 def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -88,8 +88,10 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     staged = df.select(F.struct(*[quoted(c) for c in carried]).alias(row), F.col(quoted(source)).alias("source"),
                        n_words(F.col(quoted(text))).alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), ident, F.md5(body))).alias("order_key"),
                        F.monotonically_increasing_id().alias("mix_id"))
+    path = fresh_dir(spark, "mix-staged")
     with sparing_disk(spark):
-        staged = materialize(staged, "mix-staged")
+        staged.write.parquet(path)
+    staged = spark.read.parquet(path)
     rows = staged.select("mix_id", "source", "size", "order_key", F.shiftright("mix_id", 33).alias("part"))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     sources = materialize(targets(sources, share, passes), "mix-sources")
@@ -141,7 +143,7 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
         taken = sum(F.when(F.struct(time(F.col("queue_words") + k * F.col("source_size")).alias("at"), F.col("source_rank"),
                                     *keys, F.lit(k).alias("copy")) < end, 1).otherwise(0) for k in range(passes))
     plan = narrow.select("mix_id", "size", "source_size", "target", taken.cast("int").alias("copies"), time(F.col("queue_words")).alias("finish"))
-    return Mix(staged.select("mix_id", row), plan, row, carried)
+    return Mix(staged.select("mix_id", row), plan, row, path)
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -177,30 +179,34 @@ def mixture(df: DataFrame, **options) -> DataFrame:
     return planned.rows.join(_copies(planned.plan), "mix_id").orderBy("finish", "mix_id").select(f"{planned.row}.*")
 
 
-def write_mixture(planned: Mix, path: str) -> None:
+def write_mixture(planned: Mix, path: str, release: bool = False) -> None:
     """Writes ``mixture`` as Parquet folders ``path/stretch=N``, one stretch of time after another, with the rows' mix_id.
 
-    Rows are picked and sorted a stretch at a time, so that the files of join and sort hold a part of the texts only;
-    the rows of all stretches in their order are the mixture.
+    Rows are picked once, then sorted a stretch at a time, so that the sort's files hold a part of the texts only; the
+    rows of all stretches in their order are the mixture.  With ``release`` the plan's written rows are removed as soon
+    as those that the mix takes are picked.
     """
-    with sparing_disk(planned.rows.sparkSession):
-        times = _copies(planned.plan)
+    spark = planned.rows.sparkSession
+    with Scratch(spark) as scratch, sparing_disk(spark):
+        rows = scratch.write(planned.rows.join(planned.plan.where("copies > 0").drop("size"), "mix_id"), "mix-rows")
+        if release:
+            delete_path(spark, planned.path)
+        times = _copies(rows.select("copies", "finish", "source_size", "target"))
         cuts = times.agg(F.percentile_approx("finish", [k / STRETCHES for k in range(1, STRETCHES)], 1000)).first()[0] or []
         edges = [None, *sorted(set(cuts)), None]
         for n, (low, high) in enumerate(zip(edges, edges[1:])):
-            part, time = times.select("mix_id", "finish"), F.col("finish")
+            part, time = _copies(rows), F.col("finish")
             part = part if low is None else part.where(time > low)
             part = part if high is None else part.where(time <= high)
-            (planned.rows.join(part, "mix_id").orderBy("finish", "mix_id").select(f"{planned.row}.*", "mix_id")
+            (part.orderBy("finish", "mix_id").select(f"{planned.row}.*", "mix_id")
              .write.mode("errorifexists").parquet(f"{path}/stretch={n}"))
 
 
-def taken_words(planned: Mix, mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The carried columns but ``text``, size, source_size, target and taken of every row: the words that it has in the
-    written mixture ``mixed``, a row for every row of the input."""
+def taken_words(planned: Mix, own: DataFrame, mixed: DataFrame, text: str = "text") -> DataFrame:
+    """``own`` (mix_id, ...) with size, source_size, target and taken instead of mix_id: the words that each row has in
+    the written mixture ``mixed``."""
     words = mixed.select("mix_id", n_words(F.col(quoted(text))).alias("words")).groupBy("mix_id").agg(F.sum("words").alias("taken"))
-    own = [F.col(f"{planned.row}.{quoted(c)}") for c in planned.columns if c != text]
-    return (planned.rows.select("mix_id", *own).join(planned.plan.select("mix_id", "size", "source_size", "target"), "mix_id")
+    return (own.join(planned.plan.select("mix_id", "size", "source_size", "target"), "mix_id")
             .join(words, "mix_id", "left").withColumn("taken", F.coalesce("taken", F.lit(0))).drop("mix_id"))
 
 

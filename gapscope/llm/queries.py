@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quality_pu, quality_rules, sharding, source_audit, token_counts, topk, toxicity, url_filter
 from gapscope.llm.common import held_out, table
-from gapscope.session import fresh_dir
+from gapscope.session import fresh_dir, materialize
 
 #: Folder of the vocabulary files; they are read where the tasks run.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -67,10 +67,11 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    own = materialize(planned.rows.select("mix_id", f"{planned.row}.doc_id"), "mix-ids")
     path = fresh_dir(spark, "mixture")
-    mixing.write_mixture(planned, path)
+    mixing.write_mixture(planned, path, release=True)
     mixed = spark.read.schema("doc_id long, text string, source string, mix_id long").parquet(path)
-    return mixing.taken_words(planned, mixed).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_words(planned, own, mixed)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,7 @@ def test_query_makes_the_mixed_documents(spark, docs, monkeypatch):
     """The rows' taken words are those of mixed documents that the query writes: whole, and in global order."""
     written = []
     write = mixing.write_mixture
-    monkeypatch.setattr(mixing, "write_mixture", lambda planned, path: written.append(path) or write(planned, path))
+    monkeypatch.setattr(mixing, "write_mixture", lambda planned, path, **kw: written.append(path) or write(planned, path, **kw))
     rows = op8_mixing(spark, SF).collect()
     assert len(written) == 1
     texts = {r.doc_id: (r.text, r.source) for r in docs.collect()}
