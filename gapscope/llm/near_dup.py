@@ -39,8 +39,9 @@ SAMPLES = ROWS * BANDS
 DAMPING = 0.1
 #: Document frequencies are counted by hash bucket: a table of fixed size, an upper bound for each shingle.
 DF_BUCKETS = 1 << 18
-#: Nodes of a bucket that are compared at once by samples, and the share of equal samples from which a pair is verified.
-BLOCK, MAYBE = 256, 0.62
+#: Nodes of a bucket that are compared at once by samples, and the share of equal samples from which a pair is verified:
+#: a pair at a similarity of 0.8 has fewer with a probability of 1e-10, next to the 2e-4 with which it shares no band.
+BLOCK, MAYBE = 256, 0.45
 #: Nodes up to which their list (some 50 bytes each) is broadcast to pick their texts; beyond, it is a shuffled join.
 BROADCAST_NODES = 400_000
 #: Shingles that are worked on at once, and distinct words whose hashes a worker keeps.
@@ -267,20 +268,23 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 def block_links(members: DataFrame, rarity, similar: float) -> DataFrame:
     """Links (a, b) between nodes of one bucket and different components.
 
-    ``members`` has (bucket, band, node, label, samples, text, outside, n): outside is
-    true for nodes that are not in the bucket's largest component.  Buckets are
-    cut into blocks of some ``BLOCK`` nodes; every block of outside nodes meets
-    every block.  Pairs whose samples agree often enough are verified where they
+    ``members`` has (bucket, band, node, label, samples, text, outside, n, m): outside is
+    true for the m of n nodes that are not in the bucket's largest component.  Nodes
+    and outside nodes are each cut into blocks of some ``BLOCK``; every block of
+    outside nodes meets every block, so a node is sent once for each ``BLOCK``
+    nodes that ask, not for each that are there.  Pairs whose samples agree often enough are verified where they
     meet (in the first band that they share), so that only links leave the task,
     and of a node no more than one to each component of a block.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    rows = members.select("bucket", "band", "node", "label", "samples", "text", "outside", own.alias("own"), every.alias("every"))
+    asking = F.ceil(F.col("m") / BLOCK).cast("int")
+    own, place = (F.pmod(F.xxhash64("node"), of).cast("int") for of in (blocks, asking))
+    every, ask = (F.sequence(F.lit(0), of - 1) for of in (blocks, asking))
+    rows = members.select("bucket", "band", "node", "label", "samples", "text", "outside", own.alias("own"), place.alias("place"),
+                          every.alias("every"), ask.alias("ask"))
     rest = ["band", "node", "label", "samples", "text"]
-    asks = rows.where("outside").select("bucket", F.col("own").alias("i"), F.explode("every").alias("j"), F.lit(True).alias("asks"), *rest)
-    meets = rows.select("bucket", F.explode("every").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"), *rest)
+    asks = rows.where("outside").select("bucket", F.col("place").alias("i"), F.explode("every").alias("j"), F.lit(True).alias("asks"), *rest)
+    meets = rows.select("bucket", F.explode("ask").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"), *rest)
     dealt = asks.unionByName(meets)
     dealt = dealt.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j")
 
@@ -357,10 +361,11 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         labelled = shared.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
         parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
         spans = parts.groupBy("bucket").agg(
-            F.max(F.struct("m", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+            F.max(F.struct("m", "label"))["label"].alias("largest"), (F.sum("m") - F.max("m")).alias("m"),
+            F.count("*").alias("parts")).where("parts > 1")
         members = labelled.where("n > 2").join(spans, "bucket").withColumn("outside", F.col("label") != F.col("largest"))
         members = members.join(signed.select("node", "samples"), "node").join(texts, "node").select(
-            "bucket", "band", "node", "label", "samples", "text", "outside", "n")
+            "bucket", "band", "node", "label", "samples", "text", "outside", "n", "m")
         more = scratch.write(block_links(members, rarity, similar), "links")
         if not more.isEmpty():
             labels = components(links.union(more), scratch)
