@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from gapscope.llm.common import free_name, held_out, importable, learning_labels
 POSITIVES, UNLABELLED = 3000, 6000
 BUCKETS = 1024
 N_SHAPE = 12
+#: How much a step away from the sample's scorer costs, by its square.
+HELD = 0.1
 #: Added to the number of trigrams, so that those of very short texts weigh little.
 SHRINK = 300
 _GAPS = " \t\n\v\f\r"
@@ -70,17 +73,21 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02) -> tuple[np.ndarray, float]:
+def fit(x: np.ndarray, gradient, steps: int = 500, rate: float = 0.02, tilt=None,
+        start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
     """Adam over all rows at once; ``gradient(margins)`` gives the risk's derivative by each row's margin.
 
-    The fewer the rows, the more large weights cost.
+    The fewer the rows, the more large weights cost.  ``tilt(margins, at)`` is added
+    to the derivative by the weights and the bias, which are ``at``.
     """
     ridge = 10 / max(1, len(x)) * max(1, 3000 / max(1, len(x)))
-    w, b = np.zeros(x.shape[1]), 0.0
+    w, b = start or (np.zeros(x.shape[1]), 0.0)
     m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
-        d = gradient((x @ w.astype(x.dtype)).astype(np.float64) + b)
+        z = (x @ w.astype(x.dtype)).astype(np.float64) + b
+        d = gradient(z)
         g = np.append(d.astype(x.dtype) @ x + ridge * w, d.sum())
+        g = g if tilt is None else g + tilt(z, np.append(w, b))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -117,10 +124,13 @@ def reaching(margins: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Corpus:
-    """Features of sampled unlabelled rows, and what counts all unlabelled rows that reach cuts: by cut, and how many there are."""
+    """Features of sampled unlabelled rows, and what goes over all unlabelled rows: how many reach each cut, and how many
+    there are; and by scorer the mean, over all, of what calling them 1 costs where they count as 0, with the first scorer's
+    derivatives."""
 
     sample: np.ndarray
     reaching: Callable[[Scorer, np.ndarray], tuple[np.ndarray, int]]
+    costs: Callable[[list[Scorer]], tuple[np.ndarray, np.ndarray]] | None = None
 
     def __len__(self) -> int:
         return len(self.sample)
@@ -160,15 +170,35 @@ def train(positive: np.ndarray, unlabelled: np.ndarray | Corpus) -> tuple[Scorer
             passed, n = np.maximum(everywhere - reaching(trained, cuts), 0), max(1, rows - len(trained))
         prior = prior_bound(p_rest, cuts, passed, n)
 
+    excess = np.zeros(dim + 2)  # of all unlabelled rows over the sampled ones: mean cost, then its derivatives
+
     def risk_gradient(z: np.ndarray) -> np.ndarray:
         up = _sigmoid(z)  # derivative of the loss log(1 + exp(z)) of calling a row 1 where it counts as 0
         as_zero = np.where(is_p, -prior / n_p, 1 / n_u)
-        loss = np.logaddexp(0, z)
-        if (as_zero * loss).sum() >= 0:
+        if not negative(z):
             return as_zero * up + np.where(is_p, prior / n_p * (up - 1), 0)
         return -as_zero * up  # the part that may not be negative is: step back on it alone
 
+    def negative(z: np.ndarray) -> bool:
+        return (np.where(is_p, -prior / n_p, 1 / n_u) * np.logaddexp(0, z)).sum() + excess[0] < 0
+
     w, b = fit(x, risk_gradient)
+    if corpus is not None and corpus.costs is not None:
+        # from there, the sample's risk tilted so that its derivative is that of all unlabelled rows, and held back; of the
+        # steps towards its least the one of least risk over all rows is taken
+        costs, slope = corpus.costs([Scorer(w, b, mean, scale)])
+        own = x[~is_p]
+        z = (own @ w.astype(x.dtype)).astype(np.float64) + b
+        up = _sigmoid(z) / n_u
+        excess = np.concatenate([[costs[0] - np.logaddexp(0, z).mean()], slope - np.append(up.astype(x.dtype) @ own, up.sum())])
+        from_here = np.append(w, b)
+        there = np.append(*fit(x, risk_gradient, steps=100, rate=0.002, start=(w, b),
+                               tilt=lambda z, at: (-excess[1:] if negative(z) else excess[1:]) + HELD * (at - from_here)))
+        steps = [Scorer(v[:-1], float(v[-1]), mean, scale) for v in (from_here + t * (there - from_here) for t in (0, 1 / 16, 1 / 4, 1 / 2, 1))]
+        costs, _ = corpus.costs(steps)
+        as_one = [np.logaddexp(0, -(x[is_p].astype(np.float64) @ s.weights + s.bias)).mean() for s in steps]
+        as_zero = [np.logaddexp(0, x[is_p].astype(np.float64) @ s.weights + s.bias).mean() for s in steps]
+        return steps[int(np.argmin(prior * np.array(as_one) + np.maximum(0, costs - prior * np.array(as_zero))))], prior
     return Scorer(w, b, mean, scale), prior
 
 
@@ -205,25 +235,62 @@ def count_reaching(df: DataFrame, text: str, scorer: Scorer, cuts: np.ndarray) -
     return count[::-1].cumsum()[::-1][1:], int(count.sum())
 
 
+def mean_costs(df: DataFrame, text: str, scorers: list[Scorer]) -> tuple[np.ndarray, np.ndarray]:
+    """By scorer the mean over the rows of ``df`` of log(1 + exp(margin)), and the first one's derivatives by the weights and
+    the bias, in one pass.
+
+    Sums are whole multiples of ``unit``, so they do not depend on the order in which tasks' sums meet.
+    """
+    spark = df.sparkSession
+    importable(spark)
+    model, unit, dim = spark.sparkContext.broadcast(scorers), 2.0 ** -20, BUCKETS + N_SHAPE
+    width = 1 + len(scorers) + dim + 1
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(width)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                texts = whole.column(0).slice(at, 1000).to_pylist()
+                x = (np.array([features(t) for t in texts]).reshape(-1, dim) - model.value[0].mean) / model.value[0].scale
+                margins = [x @ s.weights + s.bias for s in model.value]
+                up = _sigmoid(margins[0])
+                sums += np.concatenate([[len(x)], [np.logaddexp(0, z).sum() for z in margins], up @ x, [up.sum()]])
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(np.rint(sums / unit).astype(np.int64))],
+                                         names=["place", "total"])
+
+    found = df.select(F.col(quoted(text))).mapInArrow(task, "place int, total long").groupBy("place").agg(F.sum("total").alias("total"))
+    total = np.zeros(width)
+    for r in found.collect():  # one row for each feature
+        total[r["place"]] = r["total"] * unit
+    total[1:] /= max(1.0, total[0])
+    return total[1:1 + len(scorers)], total[1 + len(scorers):]
+
+
 def learn(docs: DataFrame, labels: DataFrame, column: str = "quality", text: str = "text", doc_id: str = "doc_id",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[Scorer, float]:
-    """Fits on at most ``positives`` rows labelled 1 and ``unlabelled`` documents, none of the held-out fold.
+    """Fits on at most ``positives`` rows labelled 1 and the documents outside the held-out fold.
 
-    Both samples are the rows of smallest hash of their id.  The class prior is
-    estimated from all documents outside that fold.
+    Both samples are the ids of smallest hash; of an id that rows repeat, the least
+    text stands for it, so no more rows come to the driver than there are ids.  The
+    class prior is estimated from all documents outside the held-out fold, and
+    the risk's unlabelled part is theirs in value and slope: ``unlabelled`` of them
+    give its shape only, and the last step is the one of least risk over all of them.
     """
     wanted = learning_labels(labels.where(F.col(column) == 1), column, positives).select(
         F.col("doc_id").alias("_id"), F.lit(True).alias("_trusted"))
-    ids = docs.select(F.col(quoted(doc_id)).alias("_id")).where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
-    free = ids.orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(unlabelled).select("_id", F.lit(False).alias("_trusted"))
+    learned_from = docs.select(F.col(quoted(doc_id)).alias("_id"), F.col(quoted(text)).alias("_text")).where(
+        F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+    free = learned_from.select("_id").distinct().orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(unlabelled).select(
+        "_id", F.lit(False).alias("_trusted"))
     sample = F.broadcast(wanted.unionByName(free))  # at most positives + unlabelled rows of two fields
     rows = docs.select(F.col(quoted(doc_id)).alias("_id"), F.col(quoted(text)).alias("_text")).join(sample, "_id")
+    rows = rows.groupBy("_id", "_trusted").agg(F.min("_text").alias("_text"))
     found = vectors(rows, "_text").select("_id", "_trusted", "_text").collect()
-    found.sort(key=lambda r: (r["_id"], r["_text"]))
+    found.sort(key=lambda r: (r["_id"], r["_trusted"]))
     matrix = lambda trusted: np.array([np.frombuffer(r["_text"], np.float32) for r in found if r["_trusted"] == trusted])
-    learned_from = docs.select(F.col(quoted(doc_id)).alias("_id"), F.col(quoted(text)).alias("_text")).where(
-        F.col("_id").isNotNull() & ~held_out(F.col("_id")))
-    return train(matrix(True), Corpus(matrix(False), lambda scorer, cuts: count_reaching(learned_from, "_text", scorer, cuts)))
+    return train(matrix(True), Corpus(matrix(False), lambda scorer, cuts: count_reaching(learned_from, "_text", scorer, cuts),
+                                      lambda scorers: mean_costs(learned_from, "_text", scorers)))
 
 
 def score_quality(df: DataFrame, scorer: Scorer, text: str = "text", name: str = "score") -> DataFrame:

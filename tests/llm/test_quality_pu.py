@@ -1,3 +1,5 @@
+import math
+
 import zlib
 
 import numpy as np
@@ -5,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapscope.llm import quality_pu
+from gapscope.llm.common import held_out
 from gapscope.llm.queries import op1_quality_pu
 
 BIG = "/root/testdata/sf0.01"
@@ -105,3 +108,50 @@ def test_nulls_and_repeats_in_labels(spark, docs, labels):
     odd = labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1, 0), (5, None, None)], labels.schema))
     (a, _), (b, _) = quality_pu.learn(docs, labels), quality_pu.learn(docs, odd)
     assert np.allclose(a.weights, b.weights)
+
+
+def test_rows_that_repeat_a_sampled_id_do_not_come_to_the_driver(spark, docs, labels, monkeypatch):
+    """A third of all rows are copies, in id or in all, of one sampled document: one row for each id is learned from."""
+    seen = []
+    train = quality_pu.train
+    monkeypatch.setattr(quality_pu, "train", lambda p, u: seen.append((len(p), len(u))) or train(p, u))
+    one = labels.where("quality = 1").join(docs, "doc_id").where(~held_out(F.col("doc_id"))).select(*docs.columns).limit(1)
+    hot = one.crossJoin(spark.range(100)).withColumn("text", F.when(F.col("id") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.col("id"))))
+    quality_pu.learn(docs.unionByName(hot.drop("id")), labels, positives=3, unlabelled=9)
+    quality_pu.learn(hot.drop("id"), labels)
+    assert seen == [(3, 9), (1, 1)]
+
+
+def plain_risk(scorer, prior, positive, unlabelled):
+    """The non-negative unbiased risk, term by term."""
+    loss = lambda z: sum(math.log1p(math.exp(-abs(v))) + max(v, 0.0) for v in z) / len(z)
+    p, u = scorer.margin(positive), scorer.margin(unlabelled)
+    return prior * loss(-p) + max(0.0, loss(u) - prior * loss(p))
+
+
+def test_the_risk_is_that_of_all_unlabelled_rows(spark, docs, labels):
+    """Mean costs and slope over all rows equal a plain loop; the risk over all rows is never more than that of the sample's scorer."""
+    scorer, _ = quality_pu.learn(docs, labels, unlabelled=30)
+    x = np.array([quality_pu.features(r.text) for r in docs.collect()])
+
+    def whole(scorers):
+        z = scorers[0].margin(x)
+        up = 1 / (1 + np.exp(-z))
+        return (np.array([np.logaddexp(0, s.margin(x)).mean() for s in scorers]),
+                np.append(up @ ((x - scorers[0].mean) / scorers[0].scale), up.sum()) / len(x))
+
+    other = quality_pu.Scorer(scorer.weights / 2, 0.1, scorer.mean, scorer.scale)
+    (costs, slope), (plain_costs, plain_slope) = quality_pu.mean_costs(docs, "text", [scorer, other]), whole([scorer, other])
+    assert np.allclose(costs, plain_costs, atol=1e-6) and np.allclose(slope, plain_slope, atol=1e-6)
+    rng = np.random.default_rng(3)
+    wanted = {r.doc_id for r in labels.where("quality = 1").collect()}
+    good = np.array([quality_pu.features(r.text) for r in docs.collect() if r.doc_id in wanted])
+    gains = []
+    for n in (25, 50, 100, 150):
+        some = x[rng.choice(len(x), n, replace=False)]
+        count = lambda s, cuts: (quality_pu.reaching(s.margin(x), cuts), len(x))
+        alone, prior = quality_pu.train(good, quality_pu.Corpus(some, count))
+        tilted, same = quality_pu.train(good, quality_pu.Corpus(some, count, whole))
+        assert prior == same
+        gains.append(plain_risk(alone, prior, good, x) - plain_risk(tilted, prior, good, x))
+    assert min(gains) > -1e-6 and max(gains) > 1e-3
