@@ -33,6 +33,8 @@ from gapscope.llm.common import importable, learning_labels, quoted, release, wi
 
 #: Bound of the labelled documents that are learned from, per label.
 SAMPLE = 1500
+#: Sentences of a labelled document that are learned from at most.
+SENTENCES = 5000
 GAP, DECAY = 2, 0.6
 #: Letters of a piece of a long word, marks of its ends included, and by how many the next piece begins later.
 PIECE, STEP = 14, 6
@@ -278,10 +280,18 @@ def train(texts: list[str], toxic: np.ndarray, share: float = SHARE) -> Machine:
 
 def learn(docs: DataFrame, labels: DataFrame, column: str = "toxic", text: str = "text", doc_id: str = "doc_id",
           sample: int = SAMPLE) -> Machine:
-    """Fits on at most ``sample`` labelled documents of each label, none of the held-out fold (those of smallest id hash)."""
+    """Fits on at most ``sample`` labelled documents of each label, none of the held-out fold (those of smallest id hash).
+
+    Of an id that rows repeat, the least text stands for it, and of a document with
+    more than ``SENTENCES`` sentences those of smallest hash: that bounds what the driver gets.
+    """
     chosen = [learning_labels(labels.where(F.col(column) == v), column, sample) for v in (0, 1)]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]).groupBy("doc_id").agg(F.max("label").alias("_toxic")))  # 2 * sample rows
     rows = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("_text")).join(chosen, "doc_id")
+    rows = rows.groupBy("doc_id", "_toxic").agg(F.min("_text").alias("_text"))
+    parts = F.split("_text", _SENTENCE.pattern)
+    some = F.slice(F.array_sort(F.transform(parts, lambda s: F.struct(F.xxhash64(s).alias("hash"), s.alias("s")))), 1, SENTENCES)
+    rows = rows.withColumn("_text", F.when(F.size(parts) > SENTENCES, F.array_join(some["s"], "\n")).otherwise(F.col("_text")))
     found = sorted((r["doc_id"], r["_text"] or "", r["_toxic"]) for r in rows.collect())
     return train([t for _, t, _ in found], np.array([v == 1 for _, _, v in found], bool))
 

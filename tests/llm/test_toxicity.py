@@ -102,3 +102,15 @@ def test_spelled_with_any_run_of_blanks():
     assert toxicity.spelled("you i  d \t i   o t here") == ["idiot"]
     assert toxicity.spelled("a b c word d  e f g") == ["abc", "defg"]
     assert toxicity.spelled("a bc d e") == [] and toxicity.spelled("a  b") == []
+
+
+def test_what_comes_to_the_driver_is_bounded(spark, docs, labels, monkeypatch):
+    """Rows that repeat a sampled id are one, and of a document with very many sentences some are taken."""
+    seen = []
+    monkeypatch.setattr(toxicity, "SENTENCES", 10)
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.append(texts))
+    one = docs.join(labels.where("toxic = 0"), "doc_id", "leftsemi").where((F.crc32(F.col("doc_id").cast("string")) % 3) != 1).limit(1)
+    long = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(500)), lambda i: F.concat(F.lit("said "), i.cast("string"))), ". ")
+    hot = one.crossJoin(spark.range(50)).drop("id").withColumn("text", long)
+    toxicity.learn(hot, labels)
+    assert len(seen) == 1 and len(seen[0]) == 1 and len(seen[0][0].split("\n")) == 10 and "said" in seen[0][0]
