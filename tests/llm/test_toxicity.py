@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,19 +10,38 @@ from gapscope.llm.queries import op3_toxicity
 BIG = "/root/testdata/sf0.01"
 
 
-def slow_kernel(a, b):
-    """Normalised kernel of two pieces, triple by triple."""
+def slow_kernel(a, b, name=lambda triple: triple):
+    """Kernel of two windows, triple by triple; each is divided by the length of a vector of as many different triples."""
     def vector(s):
-        out = {}
+        out, size = {}, 0.0
         for i in range(len(s)):
             for j in range(i + 1, len(s)):
                 for k in range(j + 1, len(s)):
-                    if j - i - 1 <= toxicity.GAP and k - j - 1 <= toxicity.GAP and k - i <= toxicity.GAP + 2:
-                        out[s[i] + s[j] + s[k]] = out.get(s[i] + s[j] + s[k], 0) + toxicity.DECAY ** (k - i - 2)
-        return out
+                    if j - i - 1 <= toxicity.GAP and k - j - 1 <= toxicity.GAP and (s[i], s[k]) != ("^", "$"):
+                        weight = toxicity.DECAY ** (k - i - 2)
+                        triple = name(s[i] + s[j] + s[k])
+                        out[triple] = out.get(triple, 0) + weight
+                        size += weight * weight
+        return {t: v / np.sqrt(size) for t, v in out.items()}
     x, y = vector(a), vector(b)
-    dot = lambda p, q: sum(v * q.get(t, 0) for t, v in p.items())
-    return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y))
+    return sum(v * y.get(t, 0) for t, v in x.items())
+
+
+def slow_windows(text):
+    """Runs of words of each sentence with 3 to WINDOW letters, joined."""
+    out = []
+    for sentence in re.split(r"\n|(?<=[.!?])\s", text):
+        words = [w for w in (re.sub(r"[\W_]", "", w).lower() for w in sentence.split()) if w]
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                joined = "".join(words[i:j])
+                if toxicity.LEAST <= len(joined) <= toxicity.WINDOW:
+                    out.append(f"^{joined}$")
+    return out
+
+
+def hashed(triple):
+    return int(toxicity.hashed(*np.array([[ord(c)] for c in triple], np.uint32))[0])
 
 
 def test_kernel_is_the_slow_one():
@@ -28,7 +49,8 @@ def test_kernel_is_the_slow_one():
     got = toxicity.Landmarks.of(words).kernel(words)
     for i, a in enumerate(words):
         for j, b in enumerate(words):
-            assert got[i, j] == pytest.approx(slow_kernel(a, b), abs=1e-5)
+            assert got[i, j] == pytest.approx(slow_kernel(a, b, hashed), abs=1e-5)
+            assert got[i, j] == pytest.approx(slow_kernel(a, b), abs=0.02)  # two triples may share a hash
 
 
 def test_folded_weights_give_the_sum_over_landmarks():
@@ -39,11 +61,34 @@ def test_folded_weights_give_the_sum_over_landmarks():
     assert np.allclose(machine.values_of(others), marks.kernel(others) @ amounts + 0.25, atol=1e-4)
 
 
-def test_pieces_and_spelled_out_words():
+def test_windows_cross_word_borders_but_not_sentences():
     assert toxicity.pieces("i.d-i*o_t") == ["^idiot$"]
-    assert "".join(toxicity.pieces("a" * 40)).count("a") >= 40 and all(len(p) <= toxicity.PIECE for p in toxicity.pieces("ab" * 500))
-    assert toxicity.spelled("you I D I O T there a b") == ["idiot"]
-    assert toxicity.spelled("a b") == [] and toxicity.spelled("") == []
+    assert "^idiot$" in toxicity.all_windows("you I D I O T there a b") and "^idiot$" in toxicity.all_windows("an i  d \t i   o t!")
+    assert toxicity.all_windows("id.\niot") == ["^iot$"] and toxicity.all_windows("id. iot") == ["^iot$"]
+    assert toxicity.all_windows("") == [] and toxicity.all_windows("a b .. \n -") == []
+    text = "You id-iot! Als ob, (so) viele wörter é\nin a row a b c d. Longest words go on 日本語 x2 __ end"
+    assert sorted(toxicity.all_windows(text)) == sorted(slow_windows(text))
+
+
+def test_long_words_are_cut():
+    for n in (toxicity.WINDOW, toxicity.WINDOW + 1, 40, 1000):
+        word = "".join(chr(97 + i * i % 26) for i in range(n))
+        cuts = toxicity.pieces(word)
+        assert cuts == toxicity.all_windows(word) and all(len(c.strip("^$")) <= toxicity.WINDOW for c in cuts)
+        assert cuts[0][0] == "^" and cuts[-1][-1] == "$" and word.startswith(cuts[0].strip("^$")) and word.endswith(cuts[-1].strip("^$"))
+
+
+def test_sums_along_the_letters_give_the_kernel_values(monkeypatch):
+    monkeypatch.setattr(toxicity, "BATCH_WORDS", 7)
+    monkeypatch.setattr(toxicity, "BATCH_CHARS", 60)
+    machine = toxicity.Machine(np.random.default_rng(4).normal(size=toxicity.HASHED).astype(np.float32), -0.5, 1.0, 0.0)
+    texts = ["you id iot there, aaaaaaa aa a", None, "", "x" * 90 + " and more words of it. " * 9, "é ü", "one two three"]
+    want = [max(machine.values_of(w)) if t and (w := toxicity.all_windows(t)) else machine.bias for t in texts]
+    assert np.allclose(machine.worst(texts), want, atol=1e-6)
+    for t in texts:
+        got = machine.worst_windows(t or "")
+        assert not t or not got or max(got)[0] == pytest.approx(machine.worst([t])[0])
+        assert all(v == pytest.approx(machine.values_of([w])[0]) for v, w in got)
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +108,10 @@ def machine():
 def test_gapped_and_inserted_insults(machine):
     toxic = machine.score(["you idiot here", "an id-i-o-t", "the i d i o t on", "re patheetic", "WORTHLESS.", "er worthlless on", "m.o.r.o.n"])
     assert (toxic >= 0.7).all()
+    chunked = machine.score(["mo ron", "an idi ot", "you id iot here", "path etic er", "the wor thl ess one", "i  d\ti o   t"])
+    assert (chunked >= 0.7).all()
+    put_in = machine.score(["idxxiot", "ix dx ix ox t", "you moxron", "pa-the tyic"])
+    assert (put_in >= 0.7).all()
     clean = machine.score(["the anerou on re", "tionsh ther", "", None, "a b c", "\n\n"])
     assert (clean < 0.5).all()
 
@@ -98,12 +147,6 @@ def test_every_case_and_clashing_columns(tricky, labels):
     assert toxicity.score_toxicity(tricky.limit(0), toxicity.learn(tricky.limit(0), labels.limit(0))).count() == 0
 
 
-def test_spelled_with_any_run_of_blanks():
-    assert toxicity.spelled("you i  d \t i   o t here") == ["idiot"]
-    assert toxicity.spelled("a b c word d  e f g") == ["abc", "defg"]
-    assert toxicity.spelled("a bc d e") == [] and toxicity.spelled("a  b") == []
-
-
 def test_what_comes_to_the_driver_is_bounded(spark, docs, labels, monkeypatch):
     """Rows that repeat a sampled id are one, and of a document with very many sentences some are taken."""
     seen = []
