@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     from .plans.registry import SPARK
+    from .session import Lease
     if args.cmd == "list":
         print("\n".join(SPARK))
         return 0
@@ -48,7 +49,9 @@ def main(argv: list[str] | None = None) -> int:
             if args.key not in SPARK:
                 print(f"unknown key {args.key!r}; see `python -m gapscope list`", file=sys.stderr)
                 return 2
-            SPARK[args.key](spark, args.sf_dir).show(args.rows, truncate=False)
+            with Lease(spark) as lease:
+                SPARK[args.key](spark, args.sf_dir).show(args.rows, truncate=False)
+            lease.release()
         else:
             from .plans.batch import run_batch_job
             run = run_batch_job(spark, args.sf_dir, open_data_path=args.open_data)

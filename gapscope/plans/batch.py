@@ -127,7 +127,7 @@ class BatchRun:
         return self.spark.createDataFrame([(n, *self.told[n]) for n in sorted(self.told)], "step string, status string, detail string")
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str, *tables: str) -> list[str]:
+def fingerprint(spark: SparkSession, sf_dir: str, *tables: str) -> list[str]:
     """Names, sizes and times of the files of input tables."""
     paths = [table_path(sf_dir, t) for t in tables]
     return [f"{e.path} {e.size} {e.modified}" for p in paths for e in (files.entries(spark, p) or [])]
@@ -170,7 +170,7 @@ def ingest_steps(run: BatchRun, sf_dir: str, ingested_at: str = DEFAULT_INGESTED
     def acquire() -> dict[str, Any]:
         return {"rows": written_counts(spark, sf_dir, counts_path).count()}   # from the written files' footers
 
-    source = {"tables": _fingerprint(spark, sf_dir, "lineitem", "orders", "customer", "nation"), "at": ingested_at, "run": run_id}
+    source = {"tables": fingerprint(spark, sf_dir, "lineitem", "orders", "customer", "nation"), "at": ingested_at, "run": run_id}
     counts = run.step("acquire", acquire, source, [counts_path], kind="ingest")
 
     def land(name, level, keys, label, derive, bound):

@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_dir, materialize, run_concurrently
+from ..session import current_lease, fresh_dir, materialize, run_concurrently, under
 from ..sources.households import (DEFAULT_INGESTED_AT, DEFAULT_LOADED_AT, RULES,
                                   DerivationRules, raw_relations)
 from ..sources.tables import row_count
@@ -36,6 +36,7 @@ class Warehouse:
         self.rules = rules
         self.ingested_at = ingested_at
         self.loaded_at = loaded_at
+        self._lease = current_lease()   # of whoever made the warehouse, also for what it writes later
         self._loaded = False
         self._marts_built = False
 
@@ -72,7 +73,8 @@ class Warehouse:
 
     @cached_property
     def _stg_state(self) -> DataFrame:
-        return materialize(models.stage_state(self.raw_state()), "stg-state")
+        with under(self._lease):
+            return materialize(models.stage_state(self.raw_state()), "stg-state")
 
     def stg_state(self) -> DataFrame:
         return self._stg_state

@@ -8,9 +8,11 @@ do we create one ourselves.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark import InheritableThread
@@ -76,7 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique (not yet created) path under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    if lease := current_lease():
+        lease.paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -99,6 +104,56 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Lease:
+    """What is written under the shared folder inside its ``with`` block, for as long as the block's results are needed.
+
+    The block's own thread and those of ``run_concurrently`` are covered; of blocks
+    within each other, the inner one has what is written in it.  Leaving the block
+    removes nothing, as results may still read from there; ``release`` does: afterwards no
+    result made in the block can be read.  If the block raises, all goes at once.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.namespaces: list[str] = []
+        self._within: list[contextlib.AbstractContextManager] = []
+
+    def __enter__(self) -> Lease:
+        self._within.append(under(self))
+        self._within[-1].__enter__()
+        return self
+
+    def __exit__(self, error, *_) -> None:
+        self._within.pop().__exit__(None, None, None)
+        if error is not None:
+            self.release()
+
+    def release(self) -> None:
+        """Removes the namespaces and folders of the block; a second call does nothing."""
+        while self.namespaces:
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{self.namespaces.pop()}` CASCADE")
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+
+_LEASE: contextvars.ContextVar[Lease | None] = contextvars.ContextVar("lease", default=None)
+
+
+def current_lease() -> Lease | None:
+    return _LEASE.get()
+
+
+@contextlib.contextmanager
+def under(lease: Lease | None) -> Iterator[None]:
+    """What is written within belongs to ``lease``, or (None) to nobody, as what later callers share does."""
+    before = _LEASE.set(lease)
+    try:
+        yield
+    finally:
+        _LEASE.reset(before)
+
+
 class Scratch:
     """Intermediate tables of one computation, removed when it is done with them.
 
@@ -149,7 +204,7 @@ def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
         except BaseException as e:  # noqa: BLE001 - re-raised below
             errors.append(e)
 
-    threads = [InheritableThread(target=runner, args=(i, fn)) for i, fn in enumerate(tasks)]
+    threads = [InheritableThread(target=contextvars.copy_context().run, args=(runner, i, fn)) for i, fn in enumerate(tasks)]
     for t in threads:
         t.start()
     for t in threads:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import files
+from ..session import current_lease
 
 _VERSION = "gapscope.version"
 _REPLACED, _LEASES = "_replaced", "_leases"
@@ -24,7 +25,9 @@ KEEP, LEASE, GIVEN_UP = 86_400.0, 86_400.0, 86_400.0
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` (optionally placed in the shared folder)."""
+    """``CREATE DATABASE IF NOT EXISTS`` (optionally placed in the shared folder); a new one belongs to the current lease."""
+    if (lease := current_lease()) and not spark.catalog.databaseExists(name):
+        lease.namespaces.append(name)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
