@@ -13,12 +13,13 @@ from gapscope.llm import bpe, chat_format, filter_audit, mixing, near_dup, quali
 from gapscope.llm.common import held_out, table
 from gapscope.session import fresh_dir, materialize
 
-#: Folder of the vocabulary files; they are read where the tasks run.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
-
-def vocabulary(name: str = "byte_bpe_50k.json") -> str:
-    return os.path.join(TOKENIZERS, name)
+def vocabulary(name: str = "byte_bpe_50k.json", folder: str | None = None) -> str:
+    """Path of a vocabulary file, in ``folder`` or where the package has it; it is read where the tasks run."""
+    if folder is not None:
+        return os.path.join(folder, name)
+    import public_tokenizers  # needed by the queries of two operators only
+    return public_tokenizers.path(name)
 
 
 def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
