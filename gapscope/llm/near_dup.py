@@ -37,8 +37,10 @@ SAMPLES = ROWS * BANDS
 #: How much frequency within a text and rarity among texts move a weight from 1: at most to 1.1 for rarity,
 #: so that 0.8 means nearly what it means without weights, in groups of copies of any size.
 DAMPING = 0.1
-#: Document frequencies are counted by hash bucket: a table of fixed size, an upper bound for each shingle.
-DF_BUCKETS = 1 << 18
+#: Document frequencies are counted in several rows of hash buckets, a table of fixed size: what other shingles bring to
+#: a bucket is known on average and taken off, and the middle of a shingle's rows is not moved by one frequent neighbour.
+DF_ROWS, DF_BITS = 4, 16
+DF_BUCKETS = DF_ROWS << DF_BITS
 #: Nodes of a bucket that are compared at once by samples, and the share of equal samples from which a pair is verified:
 #: a pair at a similarity of 0.8 has fewer with a probability of 1e-10, next to the 2e-4 with which it shares no band.
 BLOCK, MAYBE = 256, 0.45
@@ -85,12 +87,33 @@ def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return g[first], np.diff(first, append=n)
 
 
-def df_bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> _U(64 - 18)).astype(np.int64)
+def df_buckets(h: np.ndarray) -> list[np.ndarray]:
+    """A bucket in each row for every shingle hash; the rows use different bits."""
+    low = (1 << DF_BITS) - 1
+    return [(row << DF_BITS) + (h >> _U(row * DF_BITS) & _U(low)).astype(np.int64) for row in range(DF_ROWS)]
+
+
+def rarities(found: np.ndarray, n: int) -> np.ndarray:
+    """log(N / df) / log(N) by bucket, from 1 (in one text) to 0 (in all), of the ``found`` texts of each bucket among ``n``.
+
+    A text hits a bucket by another of its shingles with the chance that the row's average shows, so df is estimated
+    as (found - average) / (1 - average / N): without a bias that grows with the corpus, and never above found.
+    """
+    n, rows = max(2.0, n), found.reshape(DF_ROWS, -1).astype(float)
+    average = np.minimum(rows.mean(axis=1, keepdims=True), n * 0.999)
+    df = np.clip((rows - average) / (1 - average / n), 1, n)
+    return np.clip(np.log(n / df) / np.log(n), 0, 1).astype(np.float32).ravel()
+
+
+def rarity_of(h: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Mean of the middle two of a shingle's four rows."""
+    a, b, c, d = (rarity[bucket] for bucket in df_buckets(h))
+    low, high = np.minimum(np.minimum(a, b), np.minimum(c, d)), np.maximum(np.maximum(a, b), np.maximum(c, d))
+    return np.clip((a + b + c + d - low - high) / 2, 0, 1)
 
 
 def weights(h: np.ndarray, tf: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    return (1 + DAMPING * np.log(tf)) * (1 + DAMPING * rarity[df_bucket(h)])
+    return (1 + DAMPING * np.log(tf)) * (1 + DAMPING * rarity_of(h, rarity))
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -143,7 +166,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def rarity_table(docs: DataFrame) -> np.ndarray:
-    """By hash bucket log(N / df) / log(N), from 1 (in one text) to 0 (in all); counted over every row of ``docs`` (text)."""
+    """``rarities`` by hash bucket, counted over every row of ``docs`` (text)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = np.zeros(DF_BUCKETS + 1, np.int64), 0
         for batch in batches:
@@ -151,7 +174,8 @@ def rarity_table(docs: DataFrame) -> np.ndarray:
                 for text in batch.column(0).slice(at, 1000).to_pylist():
                     h, _ = shingles(text)
                     if len(h):
-                        found[df_bucket(h)] += 1
+                        for buckets in df_buckets(h):
+                            found[buckets] += 1  # once for each text
                         n += 1
         found[-1] = n
         _word_hash.clear()
@@ -161,10 +185,9 @@ def rarity_table(docs: DataFrame) -> np.ndarray:
 
     importable(docs.sparkSession)
     rows = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # DF_BUCKETS + 1 rows
-    found = np.zeros(DF_BUCKETS + 1)
+    found = np.zeros(DF_BUCKETS + 1, np.int64)
     found[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    n = max(2.0, found[-1])
-    return np.clip(np.log(n / np.clip(found[:-1], 1, n)) / np.log(n), 0, 1).astype(np.float32)
+    return rarities(found[:-1], found[-1])
 
 
 def _grouped(texts: list[str | None], rarity: np.ndarray) -> Iterator[tuple[list[int], np.ndarray]]:

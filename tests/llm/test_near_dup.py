@@ -55,6 +55,36 @@ def test_similarity_is_the_larger_of_both():
     assert near_dup.similarity(a, a) == 1 and near_dup.similarity(a, (np.empty(0, np.uint64), np.empty(0))) == 0
 
 
+def test_rarity_does_not_fade_with_the_corpus():
+    """Counts as a corpus of ``n`` texts of 300 shingles brings them: rare shingles stay apart from frequent ones."""
+    rng = np.random.default_rng(31)
+    h = rng.integers(0, 1 << 63, 2000, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 2000, dtype=np.uint64)
+    cells = near_dup.DF_BUCKETS // near_dup.DF_ROWS
+    for n in (10**4, 10**6, 10**8, 10**10):
+        others = rng.poisson(n * 300 / cells, near_dup.DF_BUCKETS)
+        df = np.where(np.arange(2000) < 1000, 1, n // 100)
+        found = others.copy()
+        for row in near_dup.df_buckets(h[:1000]):
+            np.add.at(found, row, 1)
+        for i in (1000, 1001, 1002):  # a few frequent shingles beside them
+            for row in near_dup.df_buckets(h[i:i + 1]):
+                found[row] += df[i]
+        got = near_dup.rarity_of(h, near_dup.rarities(np.minimum(found, n), n))
+        assert got[:1000].mean() > 0.7 and got[:1000].min() > 0.5
+        assert np.abs(got[1000:1003] - np.log(100) / np.log(n)).max() < 0.05
+
+
+def test_rarity_table_counts_texts(spark):
+    rng = np.random.default_rng(32)
+    common = " ".join(f"c{i}" for i in range(9))  # five shingles in every second text
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 200)) + (" " + common if i % 2 else "") for i in range(800)]
+    rarity = near_dup.rarity_table(spark.createDataFrame([(t,) for t in texts + [None, " "]], "text string"))
+    alone = near_dup.rarity_of(near_dup.shingles(texts[0])[0], rarity)
+    shared = near_dup.rarity_of(near_dup.shingles(common)[0], rarity)
+    assert alone.mean() > 0.85 and np.abs(shared - np.log(2) / np.log(800)).max() < 0.03
+    assert near_dup.rarity_table(spark.createDataFrame([], "text string")).shape == (near_dup.DF_BUCKETS,)
+
+
 def test_samples_collide_with_the_weighted_similarity():
     rng, got, want = np.random.default_rng(12), [], []
     for _ in range(60):
